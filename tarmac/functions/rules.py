@@ -61,3 +61,40 @@ def delay_buckets(cancelled: Column, delay: Column) -> dict[str, Column]:
         "delay_15_0": flown & (delay > 0) & (delay <= 15),
         "on_time_or_early": flown & (delay <= 0),
     }
+
+
+# Expressions over the fact's columns; functions, as a column needs a running session.
+
+
+def delay() -> Column:
+    return F.col("delay_minutes")
+
+
+def cancelled() -> Column:
+    return F.col("is_cancelled")
+
+
+def late() -> Column:
+    return F.col("is_delayed")
+
+
+def on_time() -> Column:
+    """Known not to be cancelled, and not late or of unknown delay."""
+    return ~cancelled() & ~late()
+
+
+def punctual() -> Column:
+    """Known not to be cancelled, and not a minute late."""
+    return ~cancelled() & (delay() <= 0)
+
+
+def flown() -> Column:
+    return F.col("movement_actual_timestamp").isNotNull()
+
+
+def departs() -> Column:
+    return F.col("movement_type") == "D"
+
+
+def arrives() -> Column:
+    return F.col("movement_type") == "A"

@@ -54,45 +54,42 @@ class Filters:
         return fact.filter(reduce(and_, conditions)) if conditions else fact
 
 
-ALL = F.count("*")
-DELAY, CANCELLED, LATE = F.col("delay_minutes"), F.col("is_cancelled"), F.col("is_delayed")
-PUNCTUAL = ~CANCELLED & (DELAY <= 0)
-HEAVY = ~CANCELLED & (DELAY > 45)
-
-
 def _average(where: Column | None = None) -> Column:
-    measured = rules.measured(DELAY)
+    measured = rules.measured(rules.delay())
     return F.round(F.avg(measured if where is None else F.when(where, measured)), 1)
 
 
 def _percent(condition: Column) -> Column:
-    return F.round(share(F.count_if(condition), ALL), 1)
-
-
-# Output name -> measure; each query below picks some.
-MEASURES = {
-    "total_flights": ALL,
-    "unique_flights": F.count_distinct("flight_id"),
-    "cancelled_flights": F.count_if(CANCELLED),
-    "delayed_flights": F.count_if(LATE),
-    "on_time_flights": F.count_if(PUNCTUAL),
-    "on_time_pct": _percent(PUNCTUAL),
-    "avg_delay_minutes": _average(),
-    "heavy_delay_pct": _percent(HEAVY),
-    "cancellation_pct": _percent(CANCELLED),
-    "delayed_pct": _percent(LATE),
-    "departures": F.count_if(F.col("movement_type") == "D"),
-    "arrivals": F.count_if(F.col("movement_type") == "A"),
-    "avg_departure_delay": _average(F.col("movement_type") == "D"),
-    "avg_arrival_delay": _average(F.col("movement_type") == "A"),
-    "max_delay_minutes": F.max(DELAY),
-    "first_date": F.min("flight_date"),
-    "last_date": F.max("flight_date"),
-}
+    return F.round(share(F.count_if(condition), F.count("*")), 1)
+
+
+def _measure(name: str) -> Column:
+    """A named measure; each query below picks some."""
+    heavy = ~rules.cancelled() & (rules.delay() > 45)
+    named = {
+        "total_flights": F.count("*"),
+        "unique_flights": F.count_distinct("flight_id"),
+        "cancelled_flights": F.count_if(rules.cancelled()),
+        "delayed_flights": F.count_if(rules.late()),
+        "on_time_flights": F.count_if(rules.punctual()),
+        "on_time_pct": _percent(rules.punctual()),
+        "avg_delay_minutes": _average(),
+        "heavy_delay_pct": _percent(heavy),
+        "cancellation_pct": _percent(rules.cancelled()),
+        "delayed_pct": _percent(rules.late()),
+        "departures": F.count_if(rules.departs()),
+        "arrivals": F.count_if(rules.arrives()),
+        "avg_departure_delay": _average(rules.departs()),
+        "avg_arrival_delay": _average(rules.arrives()),
+        "max_delay_minutes": F.max(rules.delay()),
+        "first_date": F.min("flight_date"),
+        "last_date": F.max("flight_date"),
+    }
+    return named[name].alias(name)
 
 
 def _measures(*names: str) -> list[Column]:
-    return [MEASURES[name].alias(name) for name in names]
+    return [_measure(name) for name in names]
 
 
 def _options(fact: DataFrame, column: str) -> DataFrame:
@@ -163,7 +160,7 @@ def delay_distribution(fact: DataFrame, filters: Filters) -> DataFrame:
         filters.apply(fact, ignore=["delay_category"])
         .filter(F.col("delay_category").isNotNull())
         .groupBy("delay_category")
-        .agg(ALL.alias("total_flights"), F.round(F.avg(DELAY), 1).alias("avg_delay_minutes"))
+        .agg(F.count("*").alias("total_flights"), F.round(F.avg(rules.delay()), 1).alias("avg_delay_minutes"))
     )
     shown = ["delay_category", "total_flights", "pct", "avg_delay_minutes"]
     return with_share(grouped, "pct", 1, share).select(shown).orderBy(F.desc("total_flights"))
@@ -183,7 +180,7 @@ def weekday_profile(fact: DataFrame, filters: Filters) -> DataFrame:
 
 def top_routes(fact: DataFrame, filters: Filters) -> DataFrame:
     """Routes oriented by the movement: an arrival's reporting airport is its destination."""
-    departs = F.col("movement_type") == "D"
+    departs = rules.departs()
     here, there = F.col("airport_code"), F.col("origin_destination_code")
     keys = ["origin_airport_code", "destination_airport_code", "airline_name"]
     shown = ["total_flights", "cancelled_flights", "avg_delay_minutes", "on_time_pct", "cancellation_pct"]
@@ -192,7 +189,7 @@ def top_routes(fact: DataFrame, filters: Filters) -> DataFrame:
         .withColumn("origin_airport_code", F.when(departs, here).otherwise(there))
         .withColumn("destination_airport_code", F.when(departs, there).otherwise(here))
         .groupBy(*keys)
-        .agg(*_measures(*shown), F.count(rules.measured(DELAY)).alias("_measured"))
+        .agg(*_measures(*shown), F.count(rules.measured(rules.delay())).alias("_measured"))
     )
     return _busiest(grouped.filter("_measured >= 5"), 15, *keys).select(*keys, *shown)
 
@@ -246,13 +243,14 @@ def _lookup(labels: dict, value: Column) -> Column:
     return F.coalesce(found, value.cast("string"))
 
 
-# Query -> chart label of its rows.
-LABELS: dict[str, Column] = {
-    "daily_trend": F.date_format("flight_date", "MM-dd"),
-    "delay_distribution": _lookup(CATEGORY_LABELS, F.col("delay_category")),
-    "hourly_profile": F.concat(F.lpad(F.col("scheduled_hour").cast("string"), 2, "0"), F.lit("h")),
-    "weekday_profile": _lookup(WEEKDAY_LABELS, F.col("day_of_week")),
-}
+def _labels() -> dict[str, Column]:
+    """Query -> chart label of its rows."""
+    return {
+        "daily_trend": F.date_format("flight_date", "MM-dd"),
+        "delay_distribution": _lookup(CATEGORY_LABELS, F.col("delay_category")),
+        "hourly_profile": F.concat(F.lpad(F.col("scheduled_hour").cast("string"), 2, "0"), F.lit("h")),
+        "weekday_profile": _lookup(WEEKDAY_LABELS, F.col("day_of_week")),
+    }
 
 
 def run(
@@ -260,4 +258,5 @@ def run(
 ) -> DataFrame:
     """One dashboard query, with a ``label`` column if asked and the chart has one."""
     rows = QUERIES[name](fact, filters or Filters())
-    return rows.withColumn("label", LABELS[name]) if labelled and name in LABELS else rows
+    label = _labels().get(name) if labelled else None
+    return rows if label is None else rows.withColumn("label", label)

@@ -15,11 +15,9 @@ from tarmac.functions.measures import mean, scaled_share_or_zero, share_or_zero,
 from tarmac.operators.ranks import add_ranks, descending
 from tarmac.schemas import EXTRACT_STAMPS
 
-DELAY, CANCELLED, LATE = F.col("delay_minutes"), F.col("is_cancelled"), F.col("is_delayed")
-ON_TIME = ~CANCELLED & ~LATE
-FLOWN = F.col("movement_actual_timestamp").isNotNull()
-MEASURED = rules.measured(DELAY)
-MOVEMENT = F.col("movement_type")
+def _measured() -> Column:
+    return rules.measured(rules.delay())
+
 
 # Output columns of the fact, in order.
 FACT_COLUMNS = [
@@ -81,15 +79,15 @@ def flights_performance(flights: DataFrame) -> DataFrame:
 def _additive() -> list[Column]:
     """Sums that one reduction stores and the next one adds up; all of fixed width."""
     by_side = []
-    for side, condition in (("dep", MOVEMENT == "D"), ("arr", MOVEMENT == "A"), ("all", F.lit(True))):
-        value = F.when(condition & FLOWN, MEASURED)
+    for side, condition in (("dep", rules.departs()), ("arr", rules.arrives()), ("all", F.lit(True))):
+        value = F.when(condition & rules.flown(), _measured())
         by_side += [F.sum(value).alias(f"{side}_sum"), F.count(value).alias(f"{side}_n")]
     return [
         *by_side,
         F.count("*").alias("records"),
-        F.count_if(CANCELLED).alias("cancelled"),
-        F.count_if(LATE).alias("late"),
-        F.count_if(ON_TIME).alias("on_time"),
+        F.count_if(rules.cancelled()).alias("cancelled"),
+        F.count_if(rules.late()).alias("late"),
+        F.count_if(rules.on_time()).alias("on_time"),
         F.count_if(F.col("delay_category") == "severe").alias("severe"),
         F.count_if(F.col("delay_category") == "moderate").alias("moderate"),
         F.min("flight_date").alias("first"),
@@ -120,8 +118,8 @@ def _distinct_ids(fact: DataFrame, keys: list[str]) -> DataFrame:
         fact.filter(F.col("flight_id").isNotNull())
         .groupBy(*keys, "flight_id")
         .agg(
-            F.max(F.coalesce(MOVEMENT == "D", F.lit(False))).alias("departs"),
-            F.max(F.coalesce(MOVEMENT == "A", F.lit(False))).alias("arrives"),
+            F.max(F.coalesce(rules.departs(), F.lit(False))).alias("departs"),
+            F.max(F.coalesce(rules.arrives(), F.lit(False))).alias("arrives"),
         )
     )
     return per_id.groupBy(*[F.col(key).alias(f"_{key}") for key in keys]).agg(
@@ -226,7 +224,7 @@ def _peak_hour(movement: str) -> Column:
     entries = []
     for hour in HOURS:
         at_hour = F.col("scheduled_hour").eqNullSafe(F.lit(hour).cast("long"))
-        n = F.sum(F.when((MOVEMENT == movement) & at_hour, F.col("records")))
+        n = F.sum(F.when((F.col("movement_type") == movement) & at_hour, F.col("records")))
         entries.append(
             F.struct(
                 n.alias("n"), F.lit(None if hour is None else -hour).cast("long").alias("minus_hour")
@@ -317,9 +315,9 @@ def _severity(category: str) -> Column:
 def _delay_measures() -> dict[str, Column]:
     return {
         "total_flights": F.count("*"),
-        "total_delayed_flights": tally(LATE),
-        "avg_delay_minutes": F.avg(MEASURED),
-        "avg_delay_when_delayed": F.avg(F.when(LATE, MEASURED)),
+        "total_delayed_flights": tally(rules.late()),
+        "avg_delay_minutes": F.avg(_measured()),
+        "avg_delay_when_delayed": F.avg(F.when(rules.late(), _measured())),
         "severe_delays": _severity("severe"),
         "moderate_delays": _severity("moderate"),
         "minor_delays": _severity("minor"),
@@ -327,7 +325,7 @@ def _delay_measures() -> dict[str, Column]:
 
 
 def _extremes() -> dict[str, Column]:
-    return {"min_delay_minutes": F.min(DELAY), "max_delay_minutes": F.max(DELAY)}
+    return {"min_delay_minutes": F.min(rules.delay()), "max_delay_minutes": F.max(rules.delay())}
 
 
 def _season() -> dict[str, Column]:
@@ -352,7 +350,7 @@ def daily_delays(fact: DataFrame) -> DataFrame:
 
 
 def route_delays(fact: DataFrame) -> DataFrame:
-    departures = fact.filter(MOVEMENT == "D").withColumnRenamed(
+    departures = fact.filter(rules.departs()).withColumnRenamed(
         "origin_destination_code", "destination_code"
     )
     return _by(departures, ["airport_code", "destination_code"], _delay_measures(), _season())
@@ -369,8 +367,8 @@ def delay_distribution(fact: DataFrame) -> DataFrame:
         ["delay_category"],
         {
             "total_flights": F.count("*"),
-            "avg_delay_minutes": F.avg(MEASURED),
-            "avg_delay_when_delayed": F.avg(F.when(DELAY.between(1, rules.MEASURED_RANGE[1]), DELAY)),
+            "avg_delay_minutes": F.avg(_measured()),
+            "avg_delay_when_delayed": F.avg(F.when(rules.delay().between(1, rules.MEASURED_RANGE[1]), rules.delay())),
         },
         _extremes(),
     )
@@ -413,7 +411,7 @@ def delay_analysis(fact: DataFrame, grains: Iterable[str] = tuple(DELAY_GRAINS))
     """
     grains = [grain for grain in DELAY_GRAINS if grain in set(grains)]
     # The routes take departures only; elsewhere their keys stay empty and the group is dropped.
-    departs = MOVEMENT == "D"
+    departs = rules.departs()
     keyed = fact.select(
         *["flight_date", "scheduled_hour", "day_of_week", "airline_code", "airline_name"],
         *["delay_category", "delay_minutes", "is_delayed", "_sdc_extracted_at"],
@@ -421,7 +419,7 @@ def delay_analysis(fact: DataFrame, grains: Iterable[str] = tuple(DELAY_GRAINS))
         F.when(departs, F.col("origin_destination_code")).alias("origin_destination_code"),
     )
     keys = list(dict.fromkeys(key for grain in grains for key in DELAY_GRAINS[grain]))
-    positive = F.avg(F.when(DELAY.between(1, rules.MEASURED_RANGE[1]), DELAY))
+    positive = F.avg(F.when(rules.delay().between(1, rules.MEASURED_RANGE[1]), rules.delay()))
     measures = {**_delay_measures(), **_extremes(), **_season(), "avg_when_positive": positive}
     grouped = keyed.groupingSets([DELAY_GRAINS[grain] for grain in grains], *keys).agg(
         F.grouping_id().alias("_grain"),
@@ -494,7 +492,7 @@ def _route_shares() -> dict[str, Column]:
 
 def routes_metrics_daily(fact: DataFrame) -> DataFrame:
     """Departures per day, route and airline, valid airport codes only."""
-    routes = fact.filter(MOVEMENT == "D").withColumns(
+    routes = fact.filter(rules.departs()).withColumns(
         {
             "origin_airport_code": text.code(F.col("airport_code")),
             "destination_airport_code": text.code(F.col("origin_destination_code")),
@@ -508,11 +506,11 @@ def routes_metrics_daily(fact: DataFrame) -> DataFrame:
     keys = ["flight_date", "origin_airport_code", "destination_airport_code", "airline_code"]
     daily = valid.groupBy(*keys, "airline_name").agg(
         F.count("*").alias("total_flights"),
-        tally(FLOWN).alias("total_completed_flights"),
-        tally(CANCELLED).alias("total_cancelled_flights"),
-        tally(LATE).alias("total_delayed_flights"),
-        tally(ON_TIME).alias("total_on_time_flights"),
-        F.avg(F.when(FLOWN, MEASURED)).alias("avg_delay_minutes"),
+        tally(rules.flown()).alias("total_completed_flights"),
+        tally(rules.cancelled()).alias("total_cancelled_flights"),
+        tally(rules.late()).alias("total_delayed_flights"),
+        tally(rules.on_time()).alias("total_on_time_flights"),
+        F.avg(F.when(rules.flown(), _measured())).alias("avg_delay_minutes"),
         *[F.max(name).alias(name) for name in EXTRACT_STAMPS],
     )
     return daily.withColumns(_route_shares()).select(

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.functions import rules
 from tarmac.functions.measures import tally
 
 GRAINS = ("day", "week", "month", "quarter", "year")
@@ -18,7 +19,7 @@ class Model:
     """A table with measures, dimensions and one time dimension."""
 
     name: str
-    measures: dict[str, Column]
+    measures: dict[str, Callable[[], Column]]
     dimensions: dict[str, str]
     time: str = "flight_date"
 
@@ -30,12 +31,12 @@ def _same(*names: str) -> dict[str, str]:
 FLIGHTS = Model(
     "flights_performance",
     measures={
-        "flights_count": F.sum(F.lit(1)),
-        "cancelled_flights": tally(F.col("is_cancelled")),
-        "delayed_flights": tally(F.col("is_delayed")),
-        "on_time_flights": tally(~F.col("is_cancelled") & ~F.col("is_delayed")),
-        "delay_minutes": F.sum("delay_minutes"),
-        "avg_delay_minutes": F.avg("delay_minutes"),
+        "flights_count": lambda: F.sum(F.lit(1)),
+        "cancelled_flights": lambda: tally(rules.cancelled()),
+        "delayed_flights": lambda: tally(rules.late()),
+        "on_time_flights": lambda: tally(rules.on_time()),
+        "delay_minutes": lambda: F.sum("delay_minutes"),
+        "avg_delay_minutes": lambda: F.avg("delay_minutes"),
     },
     dimensions={
         **_same(
@@ -61,11 +62,11 @@ FLIGHTS = Model(
 ROUTES = Model(
     "routes_metrics_daily",
     measures={
-        "route_total_flights": F.sum("total_flights"),
-        "route_cancelled_flights": F.sum("total_cancelled_flights"),
-        "route_delayed_flights": F.sum("total_delayed_flights"),
-        "route_on_time_flights": F.sum("total_on_time_flights"),
-        "route_avg_delay_minutes": F.avg("avg_delay_minutes"),
+        "route_total_flights": lambda: F.sum("total_flights"),
+        "route_cancelled_flights": lambda: F.sum("total_cancelled_flights"),
+        "route_delayed_flights": lambda: F.sum("total_delayed_flights"),
+        "route_on_time_flights": lambda: F.sum("total_on_time_flights"),
+        "route_avg_delay_minutes": lambda: F.avg("avg_delay_minutes"),
     },
     dimensions=_same(
         "flight_date",
@@ -86,10 +87,10 @@ class Metric:
     of: str | None = None
 
     def column(self) -> Column:
-        value = self.model.measures[self.measure]
+        value = self.model.measures[self.measure]()
         if self.of is None:
             return value
-        whole = F.nullif(self.model.measures[self.of].cast("double"), F.lit(0.0))
+        whole = F.nullif(self.model.measures[self.of]().cast("double"), F.lit(0.0))
         return F.try_divide(value.cast("double"), whole)
 
 

@@ -9,9 +9,12 @@ from tarmac.config import Settings
 from tarmac.functions import rules, text
 from tarmac.functions.measures import mean, share, tally
 
-DELAY, CANCELLED = F.col("delay_minutes"), F.col("is_cancelled")
-DEPARTED = F.col("actual_departure_time").isNotNull()
-MEASURED = F.when(DEPARTED, rules.measured(DELAY))
+def _departed() -> Column:
+    return F.col("actual_departure_time").isNotNull()
+
+
+def _measured() -> Column:
+    return F.when(_departed(), rules.measured(rules.delay()))
 
 
 def departures(fact: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -54,33 +57,33 @@ def _with_destination(df: DataFrame, airports: DataFrame) -> DataFrame:
 
 
 def _rounded_average() -> Column:
-    return F.round(F.avg(MEASURED), 1)
+    return F.round(F.avg(_measured()), 1)
 
 
 def public_headline(fact: DataFrame, settings: Settings = Settings()) -> DataFrame:
     return departures(fact, settings).agg(
         F.count("*").alias("total_flights"),
-        tally(CANCELLED).alias("cancelled_flights"),
-        tally(DELAY > 30).alias("delayed_over_30min"),
-        tally(DELAY > 45).alias("delayed_over_45min"),
+        tally(rules.cancelled()).alias("cancelled_flights"),
+        tally(rules.delay() > 30).alias("delayed_over_30min"),
+        tally(rules.delay() > 45).alias("delayed_over_45min"),
         _rounded_average().alias("avg_delay_minutes"),
         F.lit(settings.lookback_days).cast("long").alias("lookback_days"),
     )
 
 
 def public_airline_breakdown(fact: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    lost = F.sum(F.when(DELAY > 0, DELAY).otherwise(0)).cast("double") / F.lit(60.0)
+    lost = F.sum(F.when(rules.delay() > 0, rules.delay()).otherwise(0)).cast("double") / F.lit(60.0)
     return (
         departures(fact, settings)
         .groupBy("airline_name")
         .agg(
             F.count("*").alias("total_flights"),
-            tally(CANCELLED).alias("cancelled_flights"),
+            tally(rules.cancelled()).alias("cancelled_flights"),
             _rounded_average().alias("avg_delay_minutes"),
             F.round(lost, 1).alias("hours_lost"),
             *[
                 F.count_if(condition).alias(name)
-                for name, condition in rules.delay_buckets(CANCELLED, DELAY).items()
+                for name, condition in rules.delay_buckets(rules.cancelled(), rules.delay()).items()
             ],
         )
         .orderBy(F.desc("total_flights"), "airline_name")
@@ -89,7 +92,7 @@ def public_airline_breakdown(fact: DataFrame, settings: Settings = Settings()) -
 
 def public_bucket_distribution(fact: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Six buckets as rows, counted in one pass."""
-    buckets = {"cancelled": CANCELLED, **rules.delay_buckets(CANCELLED, DELAY)}
+    buckets = {"cancelled": rules.cancelled(), **rules.delay_buckets(rules.cancelled(), rules.delay())}
     counts = departures(fact, settings).agg(
         *[F.count_if(condition).alias(name) for name, condition in buckets.items()]
     )
@@ -109,10 +112,10 @@ def public_daily_status(
         .groupBy("flight_date", "destination_airport_code", "feed_city")
         .agg(
             F.count("*").alias("flights"),
-            F.count_if(CANCELLED).alias("cancelled"),
-            F.count_if(DELAY > 30).alias("late"),
-            F.sum(MEASURED).alias("delay_sum"),
-            F.count(MEASURED).alias("delay_n"),
+            F.count_if(rules.cancelled()).alias("cancelled"),
+            F.count_if(rules.delay() > 30).alias("late"),
+            F.sum(_measured()).alias("delay_sum"),
+            F.count(_measured()).alias("delay_n"),
         )
     )
     per_city = (
@@ -155,8 +158,8 @@ def public_tops(
     base = departures(fact, settings)
     reduced = base.groupBy("destination_airport_code", "feed_city").agg(
         F.count("*").alias("flights"),
-        F.sum(MEASURED).alias("delay_sum"),
-        F.count(MEASURED).alias("delay_n"),
+        F.sum(_measured()).alias("delay_sum"),
+        F.count(_measured()).alias("delay_n"),
     )
     cities = (
         _with_destination(reduced, airports)
@@ -174,17 +177,17 @@ def public_tops(
     ]
     top_cities = _numbered(_top(cities, busiest), busiest)
 
-    known = base.filter(DEPARTED & DELAY.isNotNull())
+    known = base.filter(_departed() & rules.delay().isNotNull())
     same_delay = [
         F.asc_nulls_last("flight_number"),
         F.asc("scheduled_departure_time"),
         F.asc("flight_sk"),
     ]
-    latest = [DELAY.desc(), *same_delay]
-    earliest = [DELAY.asc(), *same_delay]
+    latest = [rules.delay().desc(), *same_delay]
+    earliest = [rules.delay().asc(), *same_delay]
     top_late = _numbered(_with_destination(_top(known, latest), airports), latest)
     top_early = _numbered(
-        _with_destination(_top(known.filter(DELAY < 0), earliest), airports), earliest
+        _with_destination(_top(known.filter(rules.delay() < 0), earliest), airports), earliest
     )
 
     flight = {
@@ -223,7 +226,7 @@ def public_gates_analysis(fact: DataFrame, gates: int = 20) -> DataFrame:
     at most 25 rows per gate.
     """
     moment = F.coalesce("movement_actual_timestamp", "estimated_timestamp", "scheduled_timestamp")
-    measured = rules.measured(DELAY)
+    measured = rules.measured(rules.delay())
     per_hour = (
         fact.select(text.filled(F.col("gate")).alias("gate"), "delay_minutes", F.hour(moment).alias("hour"))
         .filter(F.col("gate").isNotNull())
@@ -232,9 +235,9 @@ def public_gates_analysis(fact: DataFrame, gates: int = 20) -> DataFrame:
             F.count("*").alias("flights"),
             F.sum(measured).alias("delay_sum"),
             F.count(measured).alias("delay_n"),
-            F.count_if(DELAY > 0).alias("late"),
-            F.count_if(DELAY <= 0).alias("on_time"),
-            F.max(DELAY).alias("longest"),
+            F.count_if(rules.delay() > 0).alias("late"),
+            F.count_if(rules.delay() <= 0).alias("on_time"),
+            F.max(rules.delay()).alias("longest"),
         )
     )
     at_hour = [F.sum(F.when(F.col("hour") == h, F.col("flights")).otherwise(0)) for h in range(24)]

@@ -57,14 +57,16 @@ def newest_delivery_first() -> list:
 
 def _parsed(raw: DataFrame) -> DataFrame:
     """The documents' fields, still as text where a clock is involved."""
-    document = raw.select(
-        "data", *EXTRACT_STAMPS, F.from_json("data", PAYLOAD_SCHEMA).alias("document")
+    parsed = raw.select(
+        "data",
+        *EXTRACT_STAMPS,
+        F.from_json(text.scalars_only(F.col("data")), PAYLOAD_SCHEMA).alias("document"),
     )
 
     def field(key: str):
-        return text.json_scalar(F.col("data"), F.col("document"), key)
+        return F.col("document")[key]
 
-    fields = document.select(
+    fields = parsed.select(
         *EXTRACT_STAMPS,
         *[field(key).alias(name) for key, name in PLAIN_FIELDS.items()],
         *[text.code(field(key)).alias(name) for key, name in CODE_FIELDS.items()],
@@ -86,14 +88,18 @@ def latest_movements(raw: DataFrame, settings: Settings = Settings()) -> DataFra
     Versions are dropped before the time arithmetic, so it runs once per movement.
     """
     newest = keep_latest(_parsed(raw), ["flight_sk"], newest_delivery_first())
-    local = {
-        name: clocks.local_datetime(F.col("flight_date"), F.col(f"{name}_clock"))
-        for name in CLOCK_FIELDS.values()
-    }
-    dated = newest.withColumns({f"{name}_local": value for name, value in local.items()})
+    # One lambda for all clocks keeps the generated method small enough for the JIT.
+    names = list(CLOCK_FIELDS.values())
+    local = F.transform(
+        F.array(*[F.col(f"{name}_clock") for name in names]),
+        lambda clock: clocks.local_datetime(F.col("flight_date"), clock),
+    )
+    dated = newest.withColumn("_local", local).withColumns(
+        {f"{name}_local": F.col("_local")[i] for i, name in enumerate(names)}
+    )
     scheduled = F.col("scheduled_local")
     instants = {"scheduled_timestamp": clocks.instant(scheduled, settings.local_timezone)}
-    for name in ("estimated", "actual", "block_on", "block_off"):
+    for name in names[1:]:
         moved = clocks.after_midnight(
             F.col(f"{name}_local"), scheduled, settings.rollover_threshold_hours
         )

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.schemas import RAW_SCHEMA
+from tarmac.schemas import AIRPORT_SCHEMA, EXTRACT_STAMPS, RAW_SCHEMA
 
 # Codes of the derived feed, picked by index.
 REPORTING = ["AEP", "EZE", "COR", "MDZ", "BRC", "IGR", "SLA", "NQN"]
@@ -35,9 +35,15 @@ def _clock(minutes: Column) -> Column:
     return F.format_string("%02d:%02d", F.floor(wrapped / 60), wrapped % 60)
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Use all cores where the scan yields fewer splits; a large table is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def movement_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw deliveries with the landed table's schema."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    events = _spread(spark.read.parquet(f"{sf_dir}/events.parquet")).select(
         F.floor(F.col("event_id") / 2).alias("p"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("user_id").alias("u"),
@@ -83,11 +89,35 @@ def movement_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sdphrase": _pick(["Despejado", "Lluvia", None], k % 3),
         "x_fetched_at": F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
     }
-    stamps = {name: ts for name in RAW_SCHEMA.names if name.endswith("ed_at") and "deleted" not in name}
     return events.select(
         F.to_json(F.struct(*[value.alias(key) for key, value in fields.items()])).alias("data"),
-        *[value.alias(key) for key, value in stamps.items()],
+        *[ts.alias(name) for name in EXTRACT_STAMPS],
         F.lit(None).cast("timestamp").alias("_sdc_deleted_at"),
         F.lit(None).cast("long").alias("_sdc_sequence"),
         F.lit(None).cast("long").alias("_sdc_table_version"),
     ).select(RAW_SCHEMA.names)
+
+
+def airport_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw airport table derived from suppliers: codes to clean, texts to cast."""
+    read = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("supplier", "nation", "region")}
+    key = F.col("s_suppkey")
+    letters = [F.char(65 + F.floor(key / 26**i) % 26) for i in range(3)]
+    padded = F.when(key % 3 == 0, F.concat(F.lit(" "), F.lower(F.concat(*letters)), F.lit("\t")))
+    rows = (
+        read["supplier"]
+        .join(read["nation"], F.col("s_nationkey") == F.col("n_nationkey"), "left")
+        .join(read["region"], F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    )
+    fields = {
+        "airport_code": F.when(key % 50 != 49, F.coalesce(padded, F.concat(*letters))),
+        "airport_name": F.col("s_name"),
+        "city": F.concat(F.lit("City "), (key % 40).cast("string")),
+        "region": F.col("r_name"),
+        "country": F.when(F.col("n_name") == "NATION_0", "Argentina").otherwise(F.col("n_name")),
+        "latitude": F.when(key % 5 == 0, "n/a").otherwise(F.concat((key * 37 % 90).cast("string"), F.lit(".25"))),
+        "longitude": F.when(key % 4 == 0, "").otherwise(F.concat(F.lit("-"), (key * 53 % 180).cast("string"))),
+        "timezone": F.lit("UTC"),
+        "is_international": _pick(["true", "FALSE", "yes", None], key % 4),
+    }
+    return rows.select([fields[name].alias(name) for name in AIRPORT_SCHEMA.names])
