@@ -1,0 +1,128 @@
+"""Stored tables that a repeated batch leaves as they were."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from datetime import date
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+def _path_and_files(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target, files = _path_and_files(spark, path)
+    return files.exists(target)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    target, files = _path_and_files(spark, path)
+    files.delete(target, True)
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` was committed."""
+    return exists(spark, f"{path}/_SUCCESS")
+
+
+def upsert(
+    target: DataFrame | None, fresh: DataFrame, replaced: DataFrame, keys: Sequence[str]
+) -> DataFrame:
+    """``target`` with all rows of the keys in ``replaced`` exchanged for ``fresh``.
+
+    Keys match NULL to NULL. A replaced key without a fresh row disappears.
+    """
+    if target is None:
+        return fresh
+    renamed = replaced.select(*[F.col(key).alias(f"_{key}") for key in keys])
+    same = reduce(and_, [target[key].eqNullSafe(renamed[f"_{key}"]) for key in keys])
+    return target.join(renamed, same, "left_anti").unionByName(fresh)
+
+
+class Snapshots:
+    """A small table, written whole per batch; readers take the last complete version.
+
+    The result of a batch depends on the version before it only, so running
+    the batch again yields the same version.
+    """
+
+    KEPT = 3
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def versions(self) -> list[int]:
+        target, files = _path_and_files(self.spark, self.path)
+        if not files.exists(target):
+            return []
+        names = [status.getPath().getName() for status in files.listStatus(target)]
+        batches = [int(name[1:]) for name in names if name.startswith("v")]
+        return sorted(b for b in batches if is_complete(self.spark, self._at(b)))
+
+    def _at(self, batch: int) -> str:
+        return f"{self.path}/v{batch:09d}"
+
+    def read(self, before: int | None = None) -> DataFrame | None:
+        """The last version, or the last one before a batch."""
+        known = [b for b in self.versions() if before is None or b < before]
+        return self.spark.read.parquet(self._at(known[-1])) if known else None
+
+    def write(self, df: DataFrame, batch: int) -> None:
+        df.write.mode("overwrite").parquet(self._at(batch))
+        for old in self.versions()[: -self.KEPT]:
+            discard(self.spark, self._at(old))
+
+
+class Days:
+    """A large table partitioned by day; a batch replaces whole days."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, day: str = "flight_date"):
+        self.spark, self.path, self.schema, self.day = spark, path, schema, day
+
+    def read(self, days: Sequence[date] | None = None) -> DataFrame:
+        """All rows, or those of some days; other days' files are not opened."""
+        if not exists(self.spark, self.path):
+            return self.spark.createDataFrame([], self.schema)
+        rows = self.spark.read.schema(self.schema).parquet(self.path).select(self.schema.names)
+        return rows if days is None else rows.filter(F.col(self.day).isin(list(days)))
+
+    def replace(self, df: DataFrame, days: Sequence[date], staging: str) -> None:
+        """Make ``df`` the content of ``days``.
+
+        The rows are first committed to ``staging``. A run that breaks off
+        while days are exchanged is repeated from there, so no day is lost.
+        """
+        if not is_complete(self.spark, staging):
+            df.write.mode("overwrite").parquet(staging)
+        staged = self.spark.read.schema(self.schema).parquet(staging)
+        (
+            staged.repartition(self.day, self._file(staged))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(self.day)
+            .parquet(self.path)
+        )
+        self._drop_empty(staged, days)
+
+    ROWS_PER_FILE = 5_000_000
+
+    def _file(self, staged: DataFrame) -> Column:
+        """Number of the row's file within its day; a large day is written by many tasks."""
+        counts = staged.groupBy(self.day).count().filter(F.col("count") > self.ROWS_PER_FILE)
+        large = [(F.lit(day), F.lit(rows // self.ROWS_PER_FILE + 1)) for day, rows in counts.collect()]
+        files = F.create_map(*[part for entry in large for part in entry])[F.col(self.day)] if large else F.lit(1)
+        return F.pmod(F.xxhash64(*self.schema.names), F.coalesce(files, F.lit(1)))
+
+    def _drop_empty(self, staged: DataFrame, days: Sequence[date]) -> None:
+        """Remove the partitions of replaced days that have no rows any more."""
+        filled = {row[0] for row in staged.select(self.day).distinct().collect()}
+        for day in set(days) - filled:
+            discard(self.spark, f"{self.path}/{self.day}={day}")

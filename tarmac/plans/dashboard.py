@@ -63,33 +63,34 @@ def _percent(condition: Column) -> Column:
     return F.round(share(F.count_if(condition), F.count("*")), 1)
 
 
-def _measure(name: str) -> Column:
-    """A named measure; each query below picks some."""
-    heavy = ~rules.cancelled() & (rules.delay() > 45)
-    named = {
-        "total_flights": F.count("*"),
-        "unique_flights": F.count_distinct("flight_id"),
-        "cancelled_flights": F.count_if(rules.cancelled()),
-        "delayed_flights": F.count_if(rules.late()),
-        "on_time_flights": F.count_if(rules.punctual()),
-        "on_time_pct": _percent(rules.punctual()),
-        "avg_delay_minutes": _average(),
-        "heavy_delay_pct": _percent(heavy),
-        "cancellation_pct": _percent(rules.cancelled()),
-        "delayed_pct": _percent(rules.late()),
-        "departures": F.count_if(rules.departs()),
-        "arrivals": F.count_if(rules.arrives()),
-        "avg_departure_delay": _average(rules.departs()),
-        "avg_arrival_delay": _average(rules.arrives()),
-        "max_delay_minutes": F.max(rules.delay()),
-        "first_date": F.min("flight_date"),
-        "last_date": F.max("flight_date"),
-    }
-    return named[name].alias(name)
+def _heavy() -> Column:
+    return ~rules.cancelled() & (rules.delay() > 45)
+
+
+# Measures the queries pick from, by output name.
+MEASURES: dict[str, Callable[[], Column]] = {
+    "total_flights": lambda: F.count("*"),
+    "unique_flights": lambda: F.count_distinct("flight_id"),
+    "cancelled_flights": lambda: F.count_if(rules.cancelled()),
+    "delayed_flights": lambda: F.count_if(rules.late()),
+    "on_time_flights": lambda: F.count_if(rules.punctual()),
+    "on_time_pct": lambda: _percent(rules.punctual()),
+    "avg_delay_minutes": lambda: _average(),
+    "heavy_delay_pct": lambda: _percent(_heavy()),
+    "cancellation_pct": lambda: _percent(rules.cancelled()),
+    "delayed_pct": lambda: _percent(rules.late()),
+    "departures": lambda: F.count_if(rules.departs()),
+    "arrivals": lambda: F.count_if(rules.arrives()),
+    "avg_departure_delay": lambda: _average(rules.departs()),
+    "avg_arrival_delay": lambda: _average(rules.arrives()),
+    "max_delay_minutes": lambda: F.max(rules.delay()),
+    "first_date": lambda: F.min("flight_date"),
+    "last_date": lambda: F.max("flight_date"),
+}
 
 
 def _measures(*names: str) -> list[Column]:
-    return [_measure(name) for name in names]
+    return [MEASURES[name]().alias(name) for name in names]
 
 
 def _options(fact: DataFrame, column: str) -> DataFrame:
@@ -243,14 +244,13 @@ def _lookup(labels: dict, value: Column) -> Column:
     return F.coalesce(found, value.cast("string"))
 
 
-def _labels() -> dict[str, Column]:
-    """Query -> chart label of its rows."""
-    return {
-        "daily_trend": F.date_format("flight_date", "MM-dd"),
-        "delay_distribution": _lookup(CATEGORY_LABELS, F.col("delay_category")),
-        "hourly_profile": F.concat(F.lpad(F.col("scheduled_hour").cast("string"), 2, "0"), F.lit("h")),
-        "weekday_profile": _lookup(WEEKDAY_LABELS, F.col("day_of_week")),
-    }
+# Query -> chart label of its rows.
+LABELS: dict[str, Callable[[], Column]] = {
+    "daily_trend": lambda: F.date_format("flight_date", "MM-dd"),
+    "delay_distribution": lambda: _lookup(CATEGORY_LABELS, F.col("delay_category")),
+    "hourly_profile": lambda: F.concat(F.lpad(F.col("scheduled_hour").cast("string"), 2, "0"), F.lit("h")),
+    "weekday_profile": lambda: _lookup(WEEKDAY_LABELS, F.col("day_of_week")),
+}
 
 
 def run(
@@ -258,5 +258,4 @@ def run(
 ) -> DataFrame:
     """One dashboard query, with a ``label`` column if asked and the chart has one."""
     rows = QUERIES[name](fact, filters or Filters())
-    label = _labels().get(name) if labelled else None
-    return rows if label is None else rows.withColumn("label", label)
+    return rows.withColumn("label", LABELS[name]()) if labelled and name in LABELS else rows

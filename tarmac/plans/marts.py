@@ -216,21 +216,17 @@ def airline_metrics(fact: DataFrame) -> DataFrame:
     return rank_airlines(airline_totals(fact))
 
 
-HOURS = [*range(24), None]
-
-
 def _peak_hour(movement: str) -> Column:
     """Scheduled hour with most movements; the earliest of several, NULL without movements."""
-    entries = []
-    for hour in HOURS:
-        at_hour = F.col("scheduled_hour").eqNullSafe(F.lit(hour).cast("long"))
-        n = F.sum(F.when((F.col("movement_type") == movement) & at_hour, F.col("records")))
-        entries.append(
-            F.struct(
-                n.alias("n"), F.lit(None if hour is None else -hour).cast("long").alias("minus_hour")
-            )
+    slots = []
+    for hour in [*range(24), None]:
+        value = "CAST(NULL AS INT)" if hour is None else str(hour)
+        slots.append(
+            f"struct(sum(records) FILTER (WHERE movement_type = '{movement}'"
+            f" AND scheduled_hour <=> {value}) AS n, -({value}) AS minus_hour)"
         )
-    return -F.array_max(F.array(*entries))["minus_hour"]
+    best = F.array_max(F.expr(f"array({', '.join(slots)})"))
+    return F.when(best["n"].isNotNull(), -best["minus_hour"]).cast("long")
 
 
 def airport_totals(fact: DataFrame) -> DataFrame:
