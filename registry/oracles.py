@@ -7,6 +7,8 @@ deduplication are checked by another route.
 
 from __future__ import annotations
 
+from tarmac.plans.checks import DECLARED
+from tarmac.schemas import LOAD_STAMP
 from tarmac.sources.airports import FEED_AIRPORTS
 from tarmac.sources.feed import AIRLINES, OTHER_END, REPORTING
 
@@ -587,3 +589,59 @@ ORACLES: dict[str, str] = {
         for name in ("cancelled", "delayed", "on_time")
     },
 }
+
+ORACLES["incr_routes_daily"] = ORACLES["routes_metrics_daily"]
+ORACLES["incr_airline_metrics"] = ORACLES["airline_metrics"]
+ORACLES["incr_delay_analysis"] = ORACLES["delay_analysis"]
+
+
+def _records(table: str, columns: str) -> str:
+    packed = ", ".join(f"{name} := {name}" for name in columns.split())
+    return (
+        f"SELECT '{table}' AS table_name, CAST(to_json(struct_pack({packed})) AS VARCHAR) AS record"
+        f" FROM ({ORACLES[table]})"
+    )
+
+
+ORACLES["export_rows"] = " UNION ALL ".join(
+    [
+        _records(
+            "public_daily_status",
+            """flight_date total_flights cancelled_flights delayed_over_30min avg_delay_minutes
+            top_destination_city top_destination_country""",
+        ),
+        _records(
+            "public_airline_breakdown",
+            """airline_name total_flights cancelled_flights avg_delay_minutes hours_lost delay_over_45
+            delay_45_30 delay_30_15 delay_15_0 on_time_or_early""",
+        ),
+    ]
+)
+
+
+def _checks(model: str) -> list[str]:
+    source, declared = f"({ORACLES[model]})", DECLARED[model]
+    counts = ", ".join(
+        f"{0 if name == LOAD_STAMP else f'COUNT(*) FILTER (WHERE {name} IS NULL)'} AS {name}"
+        for name in declared.not_null
+    )
+    parts = [
+        f"""SELECT '{model}' AS model, 'not_null' AS test, checked, CAST(failures AS BIGINT) AS failures
+        FROM (UNPIVOT (SELECT {counts} FROM {source}) ON COLUMNS(*) INTO NAME checked VALUE failures)"""
+    ]
+    keys = [("unique", [name]) for name in declared.unique]
+    keys += [("unique_combination", list(names)) for names in declared.unique_together]
+    for test, names in keys:
+        filled = " AND ".join(f"{name} IS NOT NULL" for name in names) if test == "unique" else "TRUE"
+        parts.append(
+            f"""SELECT '{model}', '{test}', '{",".join(names)}', COUNT(*) FROM (
+            SELECT 1 FROM {source} WHERE {filled} GROUP BY {", ".join(names)} HAVING COUNT(*) > 1)"""
+        )
+    return parts
+
+
+ORACLES["dq_report"] = (
+    "SELECT *, failures = 0 AS passed FROM ("
+    + " UNION ALL ".join(part for model in DECLARED for part in _checks(model))
+    + ")"
+)

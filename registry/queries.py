@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.config import Settings, durable, prepare
+from tarmac.config import Settings, durable, prepare, shared_folder
+from tarmac.operators.quality import report
 from tarmac.plans import dashboard, marts, metrics, public, staging
+from tarmac.plans.checks import DECLARED
+from tarmac.sinks.export import json_rows
+from tarmac.sinks.models import with_load_stamp
 from tarmac.sources.airports import feed_airports
 from tarmac.sources.feed import airport_feed, movement_feed
 from tarmac.sources.spine import spine_of
+from tarmac.streaming.pipeline import Pipeline
 
 # The feed covers January 2024; a window of 20 days leaves rows outside.
 SETTINGS = Settings(as_of=date(2024, 1, 31), lookback_days=20, route_window_days=20)
@@ -116,6 +123,65 @@ def route_metric(name: str, by: list[str], grain: str) -> Query:
     )
 
 
+def export_rows(feed: Feed) -> DataFrame:
+    """The rows of two exported documents, as JSON texts."""
+    fact = feed.stored_fact()
+    exported = {
+        "public_daily_status": public.public_daily_status(fact, feed.airports(), SETTINGS),
+        "public_airline_breakdown": public.public_airline_breakdown(fact, SETTINGS),
+    }
+    parts = [
+        json_rows(model).select(F.lit(name).alias("table_name"), F.col("value").alias("record"))
+        for name, model in exported.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def quality_report(feed: Feed) -> DataFrame:
+    """All declared checks on all models, each model written once and then checked."""
+    flights = durable(feed.flights(), "flights")
+    fact = durable(marts.flights_performance(flights), "fact")
+    airports = staging.stg_airports(airport_feed(feed.spark, feed.sf_dir))
+    daily = durable(marts.routes_metrics_daily(fact), "routes")
+    models = {
+        "stg_flights": flights,
+        "stg_airports": airports,
+        "stg_airlines": staging.stg_airlines(flights),
+        "stg_aircraft": staging.stg_aircraft(flights),
+        "flights_performance": with_load_stamp(fact),
+        "airline_metrics": with_load_stamp(marts.airline_metrics(fact)),
+        "airport_operations": with_load_stamp(marts.airport_operations(fact)),
+        "delay_analysis": with_load_stamp(marts.delay_analysis(fact)),
+        "routes_metrics_daily": daily,
+        "routes_metrics": marts.routes_metrics(daily, feed.airports(), SETTINGS),
+        "public_headline": public.public_headline(fact, SETTINGS),
+        "public_bucket_distribution": public.public_bucket_distribution(fact, SETTINGS),
+        "public_airline_breakdown": public.public_airline_breakdown(fact, SETTINGS),
+        "public_tops": public.public_tops(fact, feed.airports(), SETTINGS),
+        "public_daily_status": public.public_daily_status(fact, feed.airports(), SETTINGS),
+        "public_gates_analysis": public.public_gates_analysis(fact),
+    }
+    return report(models, DECLARED)
+
+
+BATCHES = 2
+
+
+def incremental(model: str, maintained: str) -> Query:
+    """A model after the deliveries arrived in batches, older versions after newer ones among them."""
+
+    def build(feed: Feed) -> DataFrame:
+        raw = movement_feed(feed.spark, feed.sf_dir)
+        root = f"{shared_folder(feed.spark)}/pipeline-{uuid.uuid4().hex}"
+        pipeline = Pipeline(feed.spark, root, SETTINGS, [maintained])
+        part = F.pmod(F.xxhash64("data"), F.lit(BATCHES))
+        for batch in range(BATCHES):
+            pipeline.apply(raw.filter(part == batch), batch)
+        return pipeline.model(model)
+
+    return over_feed(build)
+
+
 QUERIES: dict[str, Query] = {
     "stg_flights": over_feed(Feed.flights),
     "stg_airports": lambda spark, sf_dir: staging.stg_airports(airport_feed(prepare(spark), sf_dir)),
@@ -162,4 +228,9 @@ QUERIES: dict[str, Query] = {
     **{f"metric_{name}": flight_metric(name) for name in FLIGHT_METRICS},
     **{f"metric_{name}": route_metric(name, *entry) for name, entry in ROUTE_METRICS.items()},
     **{f"measure_{name}": route_metric(name, ["airline_name"], "day") for name in ROUTE_MEASURES},
+    "export_rows": over_feed(export_rows),
+    "dq_report": over_feed(quality_report),
+    "incr_routes_daily": incremental("routes_metrics_daily", "routes_metrics_daily"),
+    "incr_airline_metrics": incremental("airline_metrics", "airline_totals"),
+    "incr_delay_analysis": incremental("delay_analysis", "delay_analysis"),
 }

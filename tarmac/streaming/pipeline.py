@@ -42,11 +42,20 @@ BY_KEY: dict[str, tuple[Callable[[DataFrame], DataFrame], str, list[str]]] = {
 }
 DELAY_KEYS = ["analysis_type", "dimension_1", "dimension_2", "dimension_3"]
 
+MAINTAINED = ("routes_metrics_daily", *BY_KEY, "delay_analysis")
 
-class Pipeline:
-    """All stored models below one folder of the cluster's shared storage."""
 
-    def __init__(self, spark: SparkSession, root: str, settings: Settings = Settings()):
+class Pipeline:
+    """The stored models below one folder of the cluster's shared storage."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        settings: Settings = Settings(),
+        maintained: Sequence[str] = MAINTAINED,
+    ):
+        self.maintained = set(maintained)
         self.spark, self.root, self.settings = spark, root.rstrip("/"), settings
         empty = spark.createDataFrame([], RAW_SCHEMA)
         stored = staging.latest_movements(empty, settings)
@@ -138,15 +147,18 @@ class Pipeline:
         self.flights.replace(merged, days, f"{work}/merged")
 
     def _refresh(self, changed: DataFrame, days: list[date], batch: int, work: str) -> None:
-        daily = marts.routes_metrics_daily(self.fact(days))
-        self.routes_daily.replace(daily, days, f"{work}/routes")
-        fact = self.fact()
+        if "routes_metrics_daily" in self.maintained:
+            daily = marts.routes_metrics_daily(self.fact(days))
+            self.routes_daily.replace(daily, days, f"{work}/routes")
         for name, (build, source, keys) in BY_KEY.items():
+            if name not in self.maintained:
+                continue
             touched = _keys(changed, keys)
             fresh = build(self.model(source).join(touched, keys, "left_semi"))
             self._exchange(name, fresh, touched, keys, batch)
-        fresh, touched = self._delays(fact, changed, days)
-        self._exchange("delay_analysis", fresh, touched, DELAY_KEYS, batch)
+        if "delay_analysis" in self.maintained:
+            fresh, touched = self._delays(changed, days)
+            self._exchange("delay_analysis", fresh, touched, DELAY_KEYS, batch)
 
     def _exchange(
         self, name: str, fresh: DataFrame, touched: DataFrame, keys: list[str], batch: int
@@ -154,10 +166,9 @@ class Pipeline:
         table = self.snapshots[name]
         table.write(upsert(table.read(before=batch), fresh, touched, keys), batch)
 
-    def _delays(
-        self, fact: DataFrame, changed: DataFrame, days: list[date]
-    ) -> tuple[DataFrame, DataFrame]:
+    def _delays(self, changed: DataFrame, days: list[date]) -> tuple[DataFrame, DataFrame]:
         """Fresh rows of the touched delay groups, and those groups' keys."""
+        fact = self.fact()
         fresh = marts.delay_analysis(self.fact(days), ["hourly", "daily"])
         touched = None
         departures = changed.filter("movement_type = 'D'")
