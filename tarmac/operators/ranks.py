@@ -52,18 +52,16 @@ def _ranked_in_slices(df: DataFrame, name: str, order: Column) -> DataFrame:
         F.when(number.isNull(), -1).otherwise(F.size(F.filter(edges, lambda b: b < number))),
     )
     # At most SLICES + 1 rows come to the driver.
-    totals = sliced.groupBy("_slice").agg(F.sum("_rows").alias("n")).collect()
-    before, running = {}, 0
-    for row in sorted(totals, key=lambda r: r["_slice"]):
-        before[row["_slice"]] = running
-        running += row["n"]
-    offsets = F.create_map(*[F.lit(v).cast(t) for s, n in before.items() for v, t in ((s, "int"), (n, "long"))])
+    totals = dict(sliced.groupBy("_slice").agg(F.sum("_rows")).collect())
+    # Rows in lower slices; slice -1 holds the NULLs and comes first.
+    before = [sum(n for s, n in totals.items() if s < slice_) for slice_ in range(-1, len(bounds) + 1)]
+    offset = F.array(*[F.lit(n).cast("long") for n in before])[F.col("_slice") + 1]
     smaller = (
         Window.partitionBy("_slice").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
     )
     ranked = sliced.select(
         "_value",
-        (offsets[F.col("_slice")] + F.coalesce(F.sum("_rows").over(smaller), F.lit(0)) + 1).alias(name),
+        (offset + F.coalesce(F.sum("_rows").over(smaller), F.lit(0)) + 1).alias(name),
     )
     keyed = df.withColumn("_key", order)
     return keyed.join(ranked, keyed["_key"].eqNullSafe(ranked["_value"])).drop("_key", "_value")

@@ -50,7 +50,6 @@ def typed_view(raw: DataFrame, name: str) -> DataFrame:
         F.from_json("data", PAYLOAD_SCHEMA).alias("document"),
         *[field for field in RAW_SCHEMA.names if field != "data"],
     )
-    # Column names are case-insensitive and two keys may collide only by prefix, so all 29 fit.
     view = parsed.select(
         *[F.col("document")[key].alias(key) for key in PAYLOAD_KEYS],
         *[field for field in RAW_SCHEMA.names if field != "data"],
