@@ -235,5 +235,5 @@ QUERIES: dict[str, Query] = {
     "dq_report": over_feed(quality_report),
     "incr_routes_daily": incremental("routes_metrics_daily", "routes_metrics_daily"),
     "incr_airline_metrics": incremental("airline_metrics", "airline_totals"),
-    "incr_delay_analysis": incremental("delay_analysis", "delay_analysis"),
+    "incr_delay_analysis": incremental("delay_analysis", "delay_parts"),
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
@@ -387,93 +387,118 @@ DELAY_GRAINS = {
 }
 # Measures that only some grains report.
 GRAIN_ONLY = {
-    "total_delayed_flights": {"hourly", "daily", "route", "airline"},
-    "severe_delays": {"hourly", "daily", "route", "airline"},
-    "moderate_delays": {"hourly", "daily", "route", "airline"},
-    "minor_delays": {"hourly", "daily", "route", "airline"},
-    "min_delay_minutes": {"hourly", "distribution"},
-    "max_delay_minutes": {"hourly", "distribution"},
-    "first_seen_date": {"route"},
-    "last_seen_date": {"route"},
+    "total_delayed_flights": ["hourly", "daily", "route", "airline"],
+    "severe_delays": ["hourly", "daily", "route", "airline"],
+    "moderate_delays": ["hourly", "daily", "route", "airline"],
+    "minor_delays": ["hourly", "daily", "route", "airline"],
+    "min_delay_minutes": ["hourly", "distribution"],
+    "max_delay_minutes": ["hourly", "distribution"],
+    "first_seen_date": ["route"],
+    "last_seen_date": ["route"],
 }
 
 
-def delay_analysis(fact: DataFrame, grains: Iterable[str] = tuple(DELAY_GRAINS)) -> DataFrame:
-    """All delay grains in one tall table, from one pass over the fact.
+def delay_parts(fact: DataFrame) -> DataFrame:
+    """Sums per day for all delay grains, from one pass over the fact.
 
     Grouping sets give every row to each grain inside the map task, where
     partial aggregation collapses it, so there is one scan and one shuffle of
-    already small groups instead of five of each.
+    already small groups instead of five of each. The parts of a day depend on
+    that day's movements only.
     """
-    grains = [grain for grain in DELAY_GRAINS if grain in set(grains)]
     # The routes take departures only; elsewhere their keys stay empty and the group is dropped.
-    departs = rules.departs()
+    route = {
+        name: F.when(rules.departs(), F.col(name)).alias(name)
+        for name in ("airport_code", "origin_destination_code")
+    }
     keyed = fact.select(
         *["flight_date", "scheduled_hour", "day_of_week", "airline_code", "airline_name"],
         *["delay_category", "delay_minutes", "is_delayed", "_sdc_extracted_at"],
-        F.when(departs, F.col("airport_code")).alias("airport_code"),
-        F.when(departs, F.col("origin_destination_code")).alias("origin_destination_code"),
+        *route.values(),
     )
-    keys = list(dict.fromkeys(key for grain in grains for key in DELAY_GRAINS[grain]))
-    positive = F.avg(F.when(rules.delay().between(1, rules.MEASURED_RANGE[1]), rules.delay()))
-    measures = {**_delay_measures(), **_extremes(), **_season(), "avg_when_positive": positive}
-    grouped = keyed.groupingSets([DELAY_GRAINS[grain] for grain in grains], *keys).agg(
+    keys = list(dict.fromkeys(["flight_date", *(key for own in DELAY_GRAINS.values() for key in own)]))
+    sets = {grain: list(dict.fromkeys(["flight_date", *own])) for grain, own in DELAY_GRAINS.items()}
+    averaged = {
+        "measured": _measured(),
+        "late": F.when(rules.late(), _measured()),
+        "positive": F.when(rules.delay() > 0, _measured()),
+    }
+    sums = keyed.groupingSets(list(sets.values()), *keys).agg(
         F.grouping_id().alias("_grain"),
-        *[value.alias(name) for name, value in measures.items()],
+        F.count("*").alias("flights"),
+        F.count_if(rules.late()).alias("late"),
+        *[F.sum(value).alias(f"{name}_sum") for name, value in averaged.items()],
+        *[F.count(value).alias(f"{name}_n") for name, value in averaged.items()],
+        *[
+            F.count_if(F.col("delay_category") == category).alias(category)
+            for category in ("severe", "moderate", "minor")
+        ],
+        F.min("delay_minutes").alias("shortest"),
+        F.max("delay_minutes").alias("longest"),
         F.max("_sdc_extracted_at").alias("_sdc_extracted_at"),
     )
     # grouping_id has a bit per key, the first key highest; 1 means the grain lacks the key.
     ids = {
-        grain: sum(1 << (len(keys) - 1 - i) for i, key in enumerate(keys) if key not in DELAY_GRAINS[grain])
-        for grain in grains
+        grain: sum(1 << (len(keys) - 1 - i) for i, key in enumerate(keys) if key not in own)
+        for grain, own in sets.items()
     }
 
-    def per_grain(choose) -> Column:
-        return F.coalesce(
-            *[F.when(F.col("_grain") == ids[grain], choose(grain)) for grain in grains]
-        )
+    def per_grain(choose: Callable[[str], Column]) -> Column:
+        return F.coalesce(*[F.when(F.col("_grain") == ids[grain], choose(grain)) for grain in sets])
+
+    def all_filled(grain: str) -> Column:
+        return reduce(and_, [F.col(key).isNotNull() for key in DELAY_GRAINS[grain]])
 
     def dimension(position: int) -> Column:
         def nth(grain: str) -> Column:
             own = DELAY_GRAINS[grain]
-            return F.col(own[position]).cast("string") if position < len(own) else F.lit(None).cast("string")
+            value = F.col(own[position]) if position < len(own) else F.lit(None)
+            return value.cast("string")
 
-        return per_grain(nth)
-
-    def all_filled(grain: str) -> Column:
-        return reduce(and_, [F.col(key).isNotNull() for key in DELAY_GRAINS[grain]])
+        return per_grain(nth).alias(f"dimension_{position + 1}")
 
-    kind = F.col("analysis_type")
-    tall = grouped.filter(per_grain(all_filled)).select(
+    numbers = [name for name in sums.columns if name not in (*keys, "_grain")]
+    return sums.filter(per_grain(all_filled)).select(
+        "flight_date",
         per_grain(F.lit).alias("analysis_type"),
-        *[dimension(i).alias(f"dimension_{i + 1}") for i in range(3)],
-        "*",
-    )
-    when_delayed = F.when(kind == "distribution", F.col("avg_when_positive")).otherwise(
-        F.col("avg_delay_when_delayed")
+        *[dimension(position) for position in range(3)],
+        *numbers,
     )
 
-    def reported(name: str) -> Column:
-        if name not in GRAIN_ONLY:
-            return F.col(name)
-        return F.when(kind.isin(sorted(GRAIN_ONLY[name])), F.col(name)).alias(name)
 
-    return tall.select(
-        "analysis_type",
-        "dimension_1",
-        "dimension_2",
-        "dimension_3",
-        "total_flights",
-        reported("total_delayed_flights"),
-        "avg_delay_minutes",
-        when_delayed.alias("avg_delay_when_delayed"),
-        *[reported(name) for name in ("severe_delays", "moderate_delays", "minor_delays")],
-        *[reported(name) for name in ("min_delay_minutes", "max_delay_minutes")],
-        *[reported(name) for name in ("first_seen_date", "last_seen_date")],
-        "_sdc_extracted_at",
+def delays_of(parts: DataFrame) -> DataFrame:
+    """All delay grains in one tall table, added up from the days' parts."""
+    kind = F.col("analysis_type")
+    distribution = kind == "distribution"
+
+    def average(name: str) -> Column:
+        return mean(F.sum(f"{name}_sum"), F.sum(f"{name}_n"))
+
+    def reported(name: str, value: Column) -> Column:
+        return F.when(kind.isin(GRAIN_ONLY[name]), value).alias(name)
+
+    return parts.groupBy("analysis_type", "dimension_1", "dimension_2", "dimension_3").agg(
+        F.sum("flights").alias("total_flights"),
+        reported("total_delayed_flights", F.sum("late")),
+        average("measured").alias("avg_delay_minutes"),
+        F.when(distribution, average("positive"))
+        .otherwise(average("late"))
+        .alias("avg_delay_when_delayed"),
+        reported("severe_delays", F.sum("severe")),
+        reported("moderate_delays", F.sum("moderate")),
+        reported("minor_delays", F.sum("minor")),
+        reported("min_delay_minutes", F.min("shortest")),
+        reported("max_delay_minutes", F.max("longest")),
+        reported("first_seen_date", F.min("flight_date")),
+        reported("last_seen_date", F.max("flight_date")),
+        F.max("_sdc_extracted_at").alias("_sdc_extracted_at"),
     )
 
 
+def delay_analysis(fact: DataFrame) -> DataFrame:
+    return delays_of(delay_parts(fact))
+
+
 # --- routes ----------------------------------------------------------------------------------
 
 

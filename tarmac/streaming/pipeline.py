@@ -2,9 +2,11 @@
 
 A batch is merged into the movement table, which is partitioned by day; a
 movement's key contains its day, so only the days of the batch are read and
-written. The marts recompute the groups that the batch touched. A group counts
-as touched if it holds the new or the replaced version of a movement: a
-delivery that moves a flight from one airline to another changes both.
+written. What adds up over days is kept per day and recomputed for those days
+only. Totals with distinct flights, which do not add up, are recomputed from
+all movements of the groups the batch touched. A group counts as touched if it
+holds the new or the replaced version of a movement: a delivery that moves a
+flight from one airline to another changes both.
 """
 
 from __future__ import annotations
@@ -21,18 +23,8 @@ from tarmac.operators.tables import Days, Snapshots, discard, is_complete, upser
 from tarmac.plans import marts, staging
 from tarmac.schemas import RAW_SCHEMA
 
-CHANGED_COLUMNS = [
-    "flight_date",
-    "airline_code",
-    "airline_name",
-    "airport_code",
-    "origin_destination_code",
-    "movement_type",
-    "aircraft_registration",
-    "day_of_week",
-    "scheduled_hour",
-    "delay_category",
-]
+# Columns that identify a group some model keeps across days.
+GROUP_COLUMNS = ["airline_code", "airport_code", "aircraft_registration"]
 # Snapshot -> (builder, its input, columns that identify a touched group).
 BY_KEY: dict[str, tuple[Callable[[DataFrame], DataFrame], str, list[str]]] = {
     "stg_airlines": (staging.stg_airlines, "stg_flights", ["airline_code"]),
@@ -40,9 +32,13 @@ BY_KEY: dict[str, tuple[Callable[[DataFrame], DataFrame], str, list[str]]] = {
     "airline_totals": (marts.airline_totals, "flights_performance", ["airline_code"]),
     "airport_totals": (marts.airport_totals, "flights_performance", ["airport_code"]),
 }
-DELAY_KEYS = ["analysis_type", "dimension_1", "dimension_2", "dimension_3"]
+# Stored per day -> builder over the fact of some days.
+BY_DAY: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "routes_metrics_daily": marts.routes_metrics_daily,
+    "delay_parts": marts.delay_parts,
+}
 
-MAINTAINED = ("routes_metrics_daily", *BY_KEY, "delay_analysis")
+MAINTAINED = (*BY_DAY, *BY_KEY)
 
 
 class Pipeline:
@@ -60,9 +56,12 @@ class Pipeline:
         empty = spark.createDataFrame([], RAW_SCHEMA)
         stored = staging.latest_movements(empty, settings)
         self.flights = Days(spark, f"{self.root}/stg_flights", stored.schema)
-        routes = marts.routes_metrics_daily(marts.flights_performance(stored))
-        self.routes_daily = Days(spark, f"{self.root}/routes_metrics_daily", routes.schema)
-        names = [*BY_KEY, "delay_analysis", "high_water"]
+        fact = marts.flights_performance(stored)
+        self.by_day = {
+            name: (build, Days(spark, f"{self.root}/{name}", build(fact).schema))
+            for name, build in BY_DAY.items()
+        }
+        names = [*BY_KEY, "high_water"]
         self.snapshots = {name: Snapshots(spark, f"{self.root}/{name}") for name in names}
 
     # --- what readers see
@@ -72,13 +71,15 @@ class Pipeline:
         return marts.flights_performance(self.flights.read(days))
 
     def model(self, name: str) -> DataFrame:
-        """A model by its name; ranks are taken over the whole table at reading time."""
+        """A model by its name; ranks and sums over days are taken when it is read."""
         if name == "stg_flights":
             return self.flights.read().drop(staging.DELIVERY_HASH)
         if name == "flights_performance":
             return self.fact()
-        if name == "routes_metrics_daily":
-            return self.routes_daily.read()
+        if name in self.by_day:
+            return self.by_day[name][1].read()
+        if name == "delay_analysis":
+            return marts.delays_of(self.by_day["delay_parts"][1].read())
         if name == "airline_metrics":
             return marts.rank_airlines(self.snapshots["airline_totals"].read())
         if name == "airport_operations":
@@ -136,8 +137,8 @@ class Pipeline:
     def _merge(self, delta: DataFrame, days: list[date], work: str) -> None:
         existing = self.flights.read(days)
         replaced = existing.join(delta.select("flight_sk"), "flight_sk", "left_semi")
-        touched = delta.select(CHANGED_COLUMNS).unionByName(
-            replaced.select(CHANGED_COLUMNS)
+        touched = delta.select(GROUP_COLUMNS).unionByName(
+            replaced.select(GROUP_COLUMNS)
         )
         # Written before the movement table changes, from then on read from here.
         self._write_once(touched.distinct(), f"{work}/changed")
@@ -147,18 +148,15 @@ class Pipeline:
         self.flights.replace(merged, days, f"{work}/merged")
 
     def _refresh(self, changed: DataFrame, days: list[date], batch: int, work: str) -> None:
-        if "routes_metrics_daily" in self.maintained:
-            daily = marts.routes_metrics_daily(self.fact(days))
-            self.routes_daily.replace(daily, days, f"{work}/routes")
+        for name, (build, table) in self.by_day.items():
+            if name in self.maintained:
+                table.replace(build(self.fact(days)), days, f"{work}/{name}")
         for name, (build, source, keys) in BY_KEY.items():
             if name not in self.maintained:
                 continue
             touched = _keys(changed, keys)
             fresh = build(self.model(source).join(touched, keys, "left_semi"))
             self._exchange(name, fresh, touched, keys, batch)
-        if "delay_analysis" in self.maintained:
-            fresh, touched = self._delays(changed, days)
-            self._exchange("delay_analysis", fresh, touched, DELAY_KEYS, batch)
 
     def _exchange(
         self, name: str, fresh: DataFrame, touched: DataFrame, keys: list[str], batch: int
@@ -166,31 +164,6 @@ class Pipeline:
         table = self.snapshots[name]
         table.write(upsert(table.read(before=batch), fresh, touched, keys), batch)
 
-    def _delays(self, changed: DataFrame, days: list[date]) -> tuple[DataFrame, DataFrame]:
-        """Fresh rows of the touched delay groups, and those groups' keys."""
-        fact = self.fact()
-        fresh = marts.delay_analysis(self.fact(days), ["hourly", "daily"])
-        touched = None
-        departures = changed.filter("movement_type = 'D'")
-        for grain, keys in marts.DELAY_GRAINS.items():
-            own = _keys(departures if grain == "route" else changed, keys)
-            if "flight_date" not in keys:
-                rows = fact.filter("movement_type = 'D'") if grain == "route" else fact
-                fresh = fresh.unionByName(
-                    marts.delay_analysis(rows.join(own, keys, "left_semi"), [grain])
-                )
-            dimensions = [F.col(key).cast("string") for key in keys]
-            dimensions += [F.lit(None).cast("string")] * (3 - len(keys))
-            named = own.select(
-                F.lit(grain).alias("analysis_type"),
-                *[value.alias(f"dimension_{i + 1}") for i, value in enumerate(dimensions)],
-            )
-            touched = named if touched is None else touched.unionByName(named)
-        # Whole days are recomputed, so all their hours are exchanged.
-        dated = F.col("analysis_type").isin("hourly", "daily")
-        recomputed = fresh.filter(dated).select(DELAY_KEYS)
-        return fresh, touched.unionByName(recomputed).distinct()
-
     def _advance(self, delta: DataFrame, batch: int) -> None:
         table = self.snapshots["high_water"]
         seen = delta.select(F.col("_sdc_extracted_at").alias("high_water"))

@@ -11,9 +11,6 @@ from tarmac.streaming.arrivals import run_arrivals
 from tarmac.streaming.pipeline import Pipeline
 from tests.conftest import SF, movement
 
-MODELS = ["stg_flights", "flights_performance", "routes_metrics_daily", "stg_airlines", "stg_aircraft",
-          "airline_metrics", "airport_operations", "delay_analysis"]
-
 
 def full_build(raw):
     flights = staging.stg_flights(raw)
@@ -80,14 +77,14 @@ def test_changes_move_between_groups(raw, tmp_path, spark):
 
 def test_broken_batch_is_finished_by_the_next_run(raw, tmp_path, spark, monkeypatch):
     first, second = [(movement(), 1, 11)], [(movement(atda="10:30"), 2, 11), (movement(id="2"), 2, 11)]
-    pipeline = Pipeline(spark, str(tmp_path), maintained=["airline_totals", "delay_analysis"])
+    pipeline = Pipeline(spark, str(tmp_path), maintained=["airline_totals", "delay_parts"])
     pipeline.apply(raw(*first), 0)
 
     def lost(*_):
         raise RuntimeError("driver lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(Pipeline, "_delays", lost)
+        patch.setattr(Pipeline, "_exchange", lost)
         with pytest.raises(RuntimeError):
             pipeline.apply(raw(*second), 1)
     pipeline.apply(raw(*second), 1)
@@ -98,7 +95,7 @@ def test_broken_batch_is_finished_by_the_next_run(raw, tmp_path, spark, monkeypa
 def test_arrivals(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
-    pipeline = Pipeline(spark, f"{tmp_path}/models", maintained=["delay_analysis"])
+    pipeline = Pipeline(spark, f"{tmp_path}/models", maintained=["delay_parts"])
 
     def arrive(name, *documents):
         (folder / name).write_text("\n".join(json.dumps(d) for d in documents) + "\n")
