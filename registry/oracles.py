@@ -7,6 +7,7 @@ deduplication are checked by another route.
 
 from __future__ import annotations
 
+from tarmac.operators.quality import Checks
 from tarmac.plans.checks import DECLARED
 from tarmac.schemas import LOAD_STAMP
 from tarmac.sources.airports import FEED_AIRPORTS
@@ -619,8 +620,7 @@ ORACLES["export_rows"] = " UNION ALL ".join(
 )
 
 
-def _checks(model: str) -> list[str]:
-    source, declared = f"({ORACLES[model]})", DECLARED[model]
+def _checks(model: str, source: str, declared: Checks) -> list[str]:
     counts = ", ".join(
         f"{0 if name == LOAD_STAMP else f'COUNT(*) FILTER (WHERE {name} IS NULL)'} AS {name}"
         for name in declared.not_null
@@ -640,8 +640,24 @@ def _checks(model: str) -> list[str]:
     return parts
 
 
-ORACLES["dq_report"] = (
-    "SELECT *, failures = 0 AS passed FROM ("
-    + " UNION ALL ".join(part for model in DECLARED for part in _checks(model))
-    + ")"
+def _report(sources: dict[str, str], declared: dict[str, Checks]) -> str:
+    parts = [part for model in declared for part in _checks(model, sources[model], declared[model])]
+    return "SELECT *, failures = 0 AS passed FROM (" + " UNION ALL ".join(parts) + ")"
+
+
+ORACLES["dq_report"] = _report({model: f"({ORACLES[model]})" for model in DECLARED}, DECLARED)
+ORACLES["key_checks"] = _report(
+    {"orders": "orders", "lineitem": "lineitem", "customer": "customer"},
+    {
+        "orders": Checks(["o_orderkey", "o_custkey"], unique=["o_orderkey", "o_custkey"]),
+        "lineitem": Checks(["l_orderkey"], unique_together=[["l_orderkey", "l_linenumber"]]),
+        "customer": Checks(["c_custkey", "c_name"], unique=["c_custkey"]),
+    },
 )
+ORACLES["latest_orders"] = """SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS nth
+  FROM orders) WHERE nth = 1"""
+ORACLES["ranked_customers"] = """SELECT c_custkey,
+  RANK() OVER (ORDER BY c_acctbal DESC NULLS LAST) AS balance_rank,
+  RANK() OVER (ORDER BY c_acctbal ASC NULLS FIRST) AS debt_rank,
+  RANK() OVER (ORDER BY c_nationkey ASC NULLS FIRST) AS nation_rank FROM customer"""

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.config import Settings, durable, prepare, shared_folder
-from tarmac.operators.quality import report
+from tarmac.operators.latest import keep_latest
+from tarmac.operators.quality import Checks, report
+from tarmac.operators.ranks import add_ranks, descending
 from tarmac.plans import dashboard, marts, metrics, public, staging
 from tarmac.plans.checks import DECLARED
 from tarmac.sinks.export import json_rows
@@ -167,6 +169,34 @@ def quality_report(feed: Feed) -> DataFrame:
     return report(models, DECLARED)
 
 
+def ranked_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks over a whole table by the way that needs no task to see all rows."""
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    balance, nation = F.col("c_acctbal"), F.col("c_nationkey")
+    ranks = {"balance_rank": descending(balance), "debt_rank": balance, "nation_rank": nation}
+    ranked = add_ranks(customers, ranks, one_task_rows=0)
+    return ranked.select("c_custkey", *ranks)
+
+
+def latest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest order of each customer."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    newest = keep_latest(orders, ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")])
+    return newest.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+
+
+def key_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filled and unique keys of the order tables."""
+    tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ORDER_CHECKS}
+    return report(tables, ORDER_CHECKS)
+
+
+ORDER_CHECKS = {
+    "orders": Checks(["o_orderkey", "o_custkey"], unique=["o_orderkey", "o_custkey"]),
+    "lineitem": Checks(["l_orderkey"], unique_together=[["l_orderkey", "l_linenumber"]]),
+    "customer": Checks(["c_custkey", "c_name"], unique=["c_custkey"]),
+}
+
 BATCHES = 2
 
 
@@ -231,6 +261,9 @@ QUERIES: dict[str, Query] = {
     **{f"metric_{name}": flight_metric(name) for name in FLIGHT_METRICS},
     **{f"metric_{name}": route_metric(name, *entry) for name, entry in ROUTE_METRICS.items()},
     **{f"measure_{name}": route_metric(name, ["airline_name"], "day") for name in ROUTE_MEASURES},
+    "ranked_customers": ranked_customers,
+    "latest_orders": latest_orders,
+    "key_checks": key_checks,
     "export_rows": over_feed(export_rows),
     "dq_report": over_feed(quality_report),
     "incr_routes_daily": incremental("routes_metrics_daily", "routes_metrics_daily"),

@@ -69,7 +69,8 @@ def test_changes_move_between_groups(raw, tmp_path, spark):
     pipeline.apply(raw(*first), 1)
     assert pipeline.model("stg_flights").count() == 4
     pipeline.apply(raw(*second), 2)
-    assert_same(pipeline, full_build(raw(*first, *second[:-1])))
+    assert pipeline.model("stg_flights").count() == 4
+    assert_same(pipeline, {"delay_analysis": full_build(raw(*first, *second[:-1]))["delay_analysis"]})
     pipeline.apply(raw(), 5)
     with pytest.raises(ValueError, match="batch 4"):
         pipeline.apply(raw(*second), 4)
