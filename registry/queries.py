@@ -16,6 +16,7 @@ from tarmac.operators.quality import Checks, report
 from tarmac.operators.ranks import add_ranks, descending
 from tarmac.plans import dashboard, marts, metrics, public, staging
 from tarmac.plans.checks import DECLARED
+from tarmac.schemas import EXTRACT_STAMPS
 from tarmac.sinks.export import json_rows
 from tarmac.sinks.models import with_load_stamp
 from tarmac.sources.airports import feed_airports
@@ -33,6 +34,18 @@ CHOSEN = dashboard.Filters(
     time_of_day=["morning", "evening", "night"],
 )
 
+# What the summaries of departures read.
+SUMMARY_COLUMNS = """flight_sk flight_date airline_name flight_number airport_code movement_type
+origin_destination_code origin_destination_city delay_minutes is_cancelled scheduled_timestamp
+movement_actual_timestamp""".split()
+# What the totals per airline and airport read.
+GROUPED_COLUMNS = [
+    *"""flight_id flight_date airline_code airline_name airport_code origin_destination_code
+    movement_type movement_actual_timestamp scheduled_hour delay_minutes is_cancelled is_delayed
+    delay_category""".split(),
+    *EXTRACT_STAMPS,
+]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -49,11 +62,12 @@ class Feed:
         return marts.flights_performance(self.flights())
 
     def stored_flights(self) -> DataFrame:
-        return durable(self.flights(), "flights")
+        """The movements as a written table, for queries that read them more than once."""
+        return durable(self.flights().select(GROUPED_COLUMNS), "flights")
 
-    def stored_fact(self) -> DataFrame:
-        """The fact as a written table, for queries that read it more than once."""
-        return durable(self.fact(), "fact")
+    def stored_fact(self, columns: list[str]) -> DataFrame:
+        """The fact's columns that a query needs, as a written table."""
+        return durable(self.fact().select(columns), "fact")
 
     def routes_daily(self) -> DataFrame:
         return marts.routes_metrics_daily(self.fact())
@@ -85,9 +99,8 @@ def gates_as_text(feed: Feed) -> DataFrame:
 
 def flights_per_day(feed: Feed) -> DataFrame:
     """The day spine of the feed with the flights of each day, 0 where none flew."""
-    fact = feed.stored_fact()
-    daily = metrics.metric(fact, "total_flights", ["flight_date"])
-    days = spine_of(fact, "flight_date")
+    daily = durable(metrics.metric(feed.fact(), "total_flights", ["flight_date"]), "daily")
+    days = spine_of(daily, "flight_date")
     return days.join(daily, days["date_day"] == daily["flight_date"], "left").select(
         "date_day", F.coalesce("total_flights", F.lit(0)).alias("total_flights")
     )
@@ -130,7 +143,7 @@ def route_metric(name: str, by: list[str], grain: str) -> Query:
 
 def export_rows(feed: Feed) -> DataFrame:
     """The rows of two exported documents, as JSON texts."""
-    fact = feed.stored_fact()
+    fact = feed.stored_fact(SUMMARY_COLUMNS)
     exported = {
         "public_daily_status": public.public_daily_status(fact, feed.airports(), SETTINGS),
         "public_airline_breakdown": public.public_airline_breakdown(fact, SETTINGS),
@@ -221,8 +234,8 @@ QUERIES: dict[str, Query] = {
     "stg_airlines": over_feed(lambda feed: staging.stg_airlines(feed.stored_flights())),
     "stg_aircraft": over_feed(lambda feed: staging.stg_aircraft(feed.flights())),
     "flights_performance": over_feed(Feed.fact),
-    "airline_metrics": over_feed(lambda feed: marts.airline_metrics(feed.stored_fact())),
-    "airport_operations": over_feed(lambda feed: marts.airport_operations(feed.stored_fact())),
+    "airline_metrics": over_feed(lambda feed: marts.airline_metrics(feed.stored_fact(GROUPED_COLUMNS))),
+    "airport_operations": over_feed(lambda feed: marts.airport_operations(feed.stored_fact(GROUPED_COLUMNS))),
     "delay_hourly": over_feed(lambda feed: marts.hourly_delays(feed.fact())),
     "delay_daily": over_feed(lambda feed: marts.daily_delays(feed.fact())),
     "delay_route": over_feed(lambda feed: marts.route_delays(feed.fact())),
@@ -240,7 +253,7 @@ QUERIES: dict[str, Query] = {
         lambda feed: public.public_airline_breakdown(feed.fact(), SETTINGS)
     ),
     "public_tops": over_feed(
-        lambda feed: public.public_tops(feed.stored_fact(), feed.airports(), SETTINGS)
+        lambda feed: public.public_tops(feed.stored_fact(SUMMARY_COLUMNS), feed.airports(), SETTINGS)
     ),
     "public_daily_status": over_feed(
         lambda feed: public.public_daily_status(feed.fact(), feed.airports(), SETTINGS)

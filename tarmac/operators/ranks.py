@@ -46,7 +46,8 @@ def _ranked_in_slices(df: DataFrame, name: str, order: Column) -> DataFrame:
         F.percentile_approx(number, [i / SLICES for i in range(1, SLICES)], 10_000)
     ).first()[0]
     bounds = sorted(set(bounds or []))
-    edges = F.array(*[F.lit(b) for b in bounds]).cast("array<double>")
+    # As one text each: these arrays are long, and built entry by entry they take seconds to plan.
+    edges = F.expr(f"CAST(array({', '.join(f"double('{b!r}')" for b in bounds)}) AS array<double>)")
     sliced = values.withColumn(
         "_slice",
         F.when(number.isNull(), -1).otherwise(F.size(F.filter(edges, lambda b: b < number))),
@@ -55,7 +56,7 @@ def _ranked_in_slices(df: DataFrame, name: str, order: Column) -> DataFrame:
     totals = dict(sliced.groupBy("_slice").agg(F.sum("_rows")).collect())
     # Rows in lower slices; slice -1 holds the NULLs and comes first.
     before = [sum(n for s, n in totals.items() if s < slice_) for slice_ in range(-1, len(bounds) + 1)]
-    offset = F.array(*[F.lit(n).cast("long") for n in before])[F.col("_slice") + 1]
+    offset = F.expr(f"array({', '.join(f'{n}L' for n in before)})[_slice + 1]")
     smaller = (
         Window.partitionBy("_slice").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
     )

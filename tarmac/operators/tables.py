@@ -7,7 +7,7 @@ from datetime import date
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -103,8 +103,10 @@ class Days:
         if not is_complete(self.spark, staging):
             df.write.mode("overwrite").parquet(staging)
         staged = self.spark.read.schema(self.schema).parquet(staging)
+        # Rebalancing by day lets AQE split a day that is much larger than the others
+        # and write several small days in one task.
         (
-            staged.repartition(self.day, self._file(staged))
+            staged.hint("rebalance", self.day)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(self.day)
@@ -112,15 +114,6 @@ class Days:
         )
         self._drop_empty(staged, days)
 
-    ROWS_PER_FILE = 5_000_000
-
-    def _file(self, staged: DataFrame) -> Column:
-        """Number of the row's file within its day; a large day is written by many tasks."""
-        counts = staged.groupBy(self.day).count().filter(F.col("count") > self.ROWS_PER_FILE)
-        large = [(F.lit(day), F.lit(rows // self.ROWS_PER_FILE + 1)) for day, rows in counts.collect()]
-        files = F.create_map(*[part for entry in large for part in entry])[F.col(self.day)] if large else F.lit(1)
-        return F.pmod(F.xxhash64(*self.schema.names), F.coalesce(files, F.lit(1)))
-
     def _drop_empty(self, staged: DataFrame, days: Sequence[date]) -> None:
         """Remove the partitions of replaced days that have no rows any more."""
         filled = {row[0] for row in staged.select(self.day).distinct().collect()}

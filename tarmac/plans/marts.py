@@ -364,7 +364,7 @@ def delay_distribution(fact: DataFrame) -> DataFrame:
         {
             "total_flights": F.count("*"),
             "avg_delay_minutes": F.avg(_measured()),
-            "avg_delay_when_delayed": F.avg(F.when(rules.delay().between(1, rules.MEASURED_RANGE[1]), rules.delay())),
+            "avg_delay_when_delayed": F.avg(F.when(rules.delay() > 0, _measured())),
         },
         _extremes(),
     )

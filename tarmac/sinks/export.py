@@ -154,12 +154,34 @@ def export_all(
 def manifest(
     spark: SparkSession, exported: list[Exported], valid_days: int = 7, generated_at: datetime | None = None
 ) -> DataFrame:
-    """What was exported, where, how much, and until when it is valid."""
+    """One row per exported document: name, path, size, and until when the listing is valid."""
     at = generated_at or datetime.now(timezone.utc)
     schema = (
         "name string, path string, record_count long, exported_at timestamp,"
         " generated_at timestamp, expires_at timestamp"
     )
     until = at + timedelta(days=valid_days)
-    rows = [(e.table, e.path, e.records, e.exported_at, at, until) for e in exported]
+    rows = [(_name(e.path), e.path, e.records, e.exported_at, at, until) for e in exported]
     return spark.createDataFrame(rows, schema)
+
+
+def _name(path: str) -> str:
+    return path.rpartition("/")[2].removesuffix(".json")
+
+
+def write_manifest(
+    spark: SparkSession,
+    exported: list[Exported],
+    path: str,
+    valid_days: int = 7,
+    generated_at: datetime | None = None,
+) -> None:
+    """The listing as one JSON document; it has one entry per exported table."""
+    at = generated_at or datetime.now(timezone.utc)
+    listing = {
+        "generated_at": at.isoformat(),
+        "expires_at": (at + timedelta(days=valid_days)).isoformat(),
+        "expiration_days": valid_days,
+        "objects": {_name(e.path): e.path for e in exported},
+    }
+    _line(spark, 0, json.dumps(listing)).select("value").coalesce(1).write.mode("overwrite").text(path)

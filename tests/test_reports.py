@@ -166,6 +166,11 @@ def test_raw_and_empty_exports(spark, tmp_path):
     assert not (tmp_path / "x" / "b.json").exists()
     (row,) = export.manifest(spark, done, 7, datetime(2024, 1, 1, tzinfo=timezone.utc)).collect()
     assert (row.name, row.record_count, row.expires_at) == ("a", 2, datetime(2024, 1, 8))
+    export.write_manifest(spark, done, f"{tmp_path}/manifest.json", 7, datetime(2024, 1, 1, tzinfo=timezone.utc))
+    assert document(tmp_path / "manifest.json") == {
+        "generated_at": "2024-01-01T00:00:00+00:00", "expires_at": "2024-01-08T00:00:00+00:00",
+        "expiration_days": 7, "objects": {"a": f"{tmp_path}/x/a.json"},
+    }
 
 
 def test_export_targets():
