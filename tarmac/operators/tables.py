@@ -97,25 +97,33 @@ class Days:
     def replace(self, df: DataFrame, days: Sequence[date], staging: str) -> None:
         """Make ``df`` the content of ``days``.
 
-        The rows are first committed to ``staging``. A run that breaks off
-        while days are exchanged is repeated from there, so no day is lost.
+        Where days are exchanged, the rows are first committed to ``staging``.
+        A run that breaks off in between is repeated from there, so no day is
+        lost. Days that are new need no such detour.
         """
-        if not is_complete(self.spark, staging):
-            df.write.mode("overwrite").parquet(staging)
-        staged = self.spark.read.schema(self.schema).parquet(staging)
+        committed = is_complete(self.spark, staging)
+        detour = committed or any(exists(self.spark, self._at(day)) for day in days)
+        if detour:
+            if not committed:
+                df.write.mode("overwrite").parquet(staging)
+            df = self.spark.read.schema(self.schema).parquet(staging)
         # Rebalancing by day lets AQE split a day that is much larger than the others
         # and write several small days in one task.
         (
-            staged.hint("rebalance", self.day)
+            df.hint("rebalance", self.day)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(self.day)
             .parquet(self.path)
         )
-        self._drop_empty(staged, days)
+        if detour:
+            self._drop_empty(df, days)
+
+    def _at(self, day: date) -> str:
+        return f"{self.path}/{self.day}={day}"
 
     def _drop_empty(self, staged: DataFrame, days: Sequence[date]) -> None:
         """Remove the partitions of replaced days that have no rows any more."""
         filled = {row[0] for row in staged.select(self.day).distinct().collect()}
         for day in set(days) - filled:
-            discard(self.spark, f"{self.path}/{self.day}={day}")
+            discard(self.spark, self._at(day))

@@ -18,13 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.config import Settings
-from tarmac.operators.latest import keep_latest
 from tarmac.operators.tables import Days, Snapshots, discard, is_complete, upsert
 from tarmac.plans import marts, staging
 from tarmac.schemas import RAW_SCHEMA
 
 # Columns that identify a group some model keeps across days.
 GROUP_COLUMNS = ["airline_code", "airport_code", "aircraft_registration"]
+# What makes a delivery newer than another; NULL is older than any value.
+ORDER_COLUMNS = ["_sdc_extracted_at", "fetched_at", staging.DELIVERY_HASH]
 # Snapshot -> (builder, its input, columns that identify a touched group).
 BY_KEY: dict[str, tuple[Callable[[DataFrame], DataFrame], str, list[str]]] = {
     "stg_airlines": (staging.stg_airlines, "stg_flights", ["airline_code"]),
@@ -116,8 +117,7 @@ class Pipeline:
         # The days are partition directories, so the driver lists them anyway.
         days = [row[0] for row in keyed.select("flight_date").distinct().collect()]
         if days:
-            self._merge(keyed, days, work)
-            changed = self.spark.read.parquet(f"{work}/changed")
+            changed = self._merge(keyed, days, work)
             self._refresh(changed, days, batch, work)
         self._advance(delta, batch)
         discard(self.spark, work)
@@ -134,18 +134,26 @@ class Pipeline:
         if not is_complete(self.spark, path):
             df.write.mode("overwrite").parquet(path)
 
-    def _merge(self, delta: DataFrame, days: list[date], work: str) -> None:
-        existing = self.flights.read(days)
-        replaced = existing.join(delta.select("flight_sk"), "flight_sk", "left_semi")
-        touched = delta.select(GROUP_COLUMNS).unionByName(
-            replaced.select(GROUP_COLUMNS)
-        )
+    def _merge(self, delta: DataFrame, days: list[date], work: str) -> DataFrame:
+        """Exchange the days' movements; returns the groups of all versions, new and replaced.
+
+        Stored movements that a delivery meets are found by their key and
+        stamps alone. The wide rows are joined with keys only, so as long as
+        the batch is small against its days, they are not shuffled.
+        """
+        existing, order = self.flights.read(days), F.struct(*ORDER_COLUMNS)
+        arriving = delta.select("flight_sk", order.alias("_arriving"))
+        stored = existing.select("flight_sk", *GROUP_COLUMNS, order.alias("_stored"))
+        stale = (F.col("_stored") >= F.col("_arriving")).alias("stale")
         # Written before the movement table changes, from then on read from here.
-        self._write_once(touched.distinct(), f"{work}/changed")
-        merged = keep_latest(
-            existing.unionByName(delta), ["flight_sk"], staging.newest_delivery_first()
-        )
-        self.flights.replace(merged, days, f"{work}/merged")
+        met = stored.join(arriving, "flight_sk").select("flight_sk", *GROUP_COLUMNS, stale)
+        self._write_once(met, f"{work}/met")
+        met = self.spark.read.schema(met.schema).parquet(f"{work}/met")
+
+        newer = delta.join(met.filter("stale"), "flight_sk", "left_anti")
+        kept = existing.join(newer.select("flight_sk"), "flight_sk", "left_anti")
+        self.flights.replace(kept.unionByName(newer), days, f"{work}/merged")
+        return delta.select(GROUP_COLUMNS).unionByName(met.select(GROUP_COLUMNS))
 
     def _refresh(self, changed: DataFrame, days: list[date], batch: int, work: str) -> None:
         for name, (build, table) in self.by_day.items():

@@ -50,6 +50,8 @@ def test_changes_move_between_groups(raw, tmp_path, spark):
         (movement(id="2", matricula="LV-1"), 1, 11),
         (movement(id="3", IATAdestorig="EZE", stda="11:00"), 1, 11),
         (movement(id="4", x_date="2024-01-09"), 1, 11),
+        (movement(id="5", x_fetched_at=None), 1, 11),
+        (movement(id="6"), 1, 11),
     ]
     second = [
         # The airline, the route and the hour of a known movement change; a stale version comes late.
@@ -58,6 +60,9 @@ def test_changes_move_between_groups(raw, tmp_path, spark):
         (movement(id="2", gate="stale"), 0, 11),
         # The only valid route of its day becomes invalid.
         (movement(id="4", x_date="2024-01-09", IATAdestorig="B1"), 3, 11),
+        # Equal extraction stamps: a known fetch time beats an unknown one, either way round.
+        (movement(id="5", gate="G5"), 1, 11),
+        (movement(id="6", gate="G6", x_fetched_at=None), 1, 11),
         (movement(id=None), 3, 11),
     ]
     pipeline = Pipeline(spark, str(tmp_path))
@@ -67,9 +72,9 @@ def test_changes_move_between_groups(raw, tmp_path, spark):
     assert_same(pipeline, full_build(raw(*first, *second[:-1])))
     # A batch applied before changes nothing, and numbers never fall.
     pipeline.apply(raw(*first), 1)
-    assert pipeline.model("stg_flights").count() == 4
+    assert pipeline.model("stg_flights").count() == 6
     pipeline.apply(raw(*second), 2)
-    assert pipeline.model("stg_flights").count() == 4
+    assert pipeline.model("stg_flights").count() == 6
     assert_same(pipeline, {"delay_analysis": full_build(raw(*first, *second[:-1]))["delay_analysis"]})
     pipeline.apply(raw(), 5)
     with pytest.raises(ValueError, match="batch 4"):
