@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tarmac.config import Settings
 from tarmac.functions import clocks, rules, text
-from tarmac.functions.measures import flag, mean, share_or_zero
+from tarmac.functions.measures import mean, share_or_zero
 from tarmac.operators.latest import keep_latest
 from tarmac.schemas import EXTRACT_STAMPS, FLIGHT_COLUMNS, PAYLOAD_SCHEMA
 

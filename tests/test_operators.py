@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarmac.operators.latest import keep_latest
-from tarmac.operators.quality import Checks, report
+from tarmac.operators.quality import Checks, failing_rows, report
 from tarmac.operators.ranks import add_ranks, descending
 from tarmac.operators.tables import Days, Snapshots, upsert
 from tarmac.plans.checks import DECLARED
@@ -66,6 +66,7 @@ def test_checks(spark):
         ("unique", "k"): (1, False),
         ("unique_combination", "k,n"): (1, False),
     }
+    assert [row.n for row in failing_rows(df, "k").collect()] == [2, 2]
 
 
 def test_number_of_declared_checks():
