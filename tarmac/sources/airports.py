@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.schemas import AIRPORT_SCHEMA
@@ -33,4 +34,6 @@ def read_airports(spark: SparkSession, path: str) -> DataFrame:
 
 
 def feed_airports(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(FEED_AIRPORTS, AIRPORT_SCHEMA)
+    # From Arrow it is a local relation of known size, which Spark broadcasts by itself.
+    columns = dict(zip(AIRPORT_SCHEMA.names, map(list, zip(*FEED_AIRPORTS))))
+    return spark.createDataFrame(pa.table(columns), AIRPORT_SCHEMA)
