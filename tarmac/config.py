@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -34,29 +36,53 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see: ``spark.checkpoint.dir``.
 
-    Only a local session may go without it; there a fresh temporary folder
-    stands in and is remembered for the session.
+    Only a session whose single process holds driver and executors may go
+    without it; there a fresh temporary folder stands in and goes with the session.
     """
-    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
         "tarmac.local.folder", None
     )
     if folder:
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="tarmac-")
     spark.conf.set("tarmac.local.folder", folder)
+    _delete_at_exit(spark, folder)
     return folder
 
 
 def durable(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
-    For results that several later steps read: it cuts the lineage, and the
-    readers survive the loss of any executor.
+    For results that several later steps read: it cuts the lineage, the readers
+    survive the loss of any executor, and the planner knows the table's size.
+    The application owns the copies and deletes its folder when it ends.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tarmac/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the application's own part of the shared folder."""
+    own = f"{shared_folder(spark)}/tarmac-{spark.sparkContext.applicationId}"
+    if own not in _OWN:
+        _delete_at_exit(spark, own)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
+
+
+_OWN: set[str] = set()
+
+
+def _delete_at_exit(spark: SparkSession, folder: str) -> None:
+    _OWN.add(folder)
+    atexit.register(_delete, spark, folder)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    try:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # the session is gone already: whoever owns the shared folder clears it
+        return

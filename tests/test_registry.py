@@ -5,11 +5,10 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import TABLES, rows
+from registry.oracles import ORACLES
+from registry.queries import QUERIES
 from tests.conftest import SF
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def db():
@@ -21,6 +20,7 @@ def db():
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 def test_entry(spark):
