@@ -77,7 +77,50 @@ SELECT doc_id, size, source_size, target,
   CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM drawn"""
 
+_REPEATED_PASSAGES = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM texts),
+places AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS pos FROM texts WHERE len(ws) >= 13),
+windows AS (SELECT doc_id, pos, array_to_string(ws[pos:pos + 12], ' ') AS w FROM places),
+lowest AS (SELECT w, min(doc_id) AS low FROM windows GROUP BY w),
+hits AS (SELECT doc_id, pos FROM windows JOIN lowest USING (w) WHERE doc_id > low),
+gone AS (SELECT DISTINCT doc_id, pos + k AS pos FROM hits, range(13) AS r(k)),
+marked AS (SELECT w.doc_id, w.word, w.pos, g.pos IS NOT NULL AS out FROM words w LEFT JOIN gone g USING (doc_id, pos)),
+per_text AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (out) AS n_removed,
+    string_agg(word, ' ' ORDER BY pos) FILTER (NOT out) AS kept
+  FROM marked GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN per_text USING (doc_id)"""
+
+_NEAR_DUPLICATES = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[pos:pos + 4], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS pos FROM texts WHERE len(ws) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * c >= 75 * (p.n + q.n - c)),
+edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.doc_id, e.y FROM reach r JOIN edges e ON r.other = e.x)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, r.low AS component_id, d.doc_id = r.low AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id) r USING (doc_id)"""
+
 ORACLES: dict[str, str] = {
     "op1_licence_scan": _licence_scan(),
     "op2_mixing": _MIXING,
+    "op7_repeated_passages": _REPEATED_PASSAGES,
+    "op8_near_duplicates": _NEAR_DUPLICATES,
 }

@@ -8,8 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.config import durable, prepare
-from tarmac.llm import licences, mixing, quality_rules, secret_scan
-from tarmac.llm.common import whole
+from tarmac.llm import (
+    html_text,
+    imatch,
+    licences,
+    minhash,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    repeated_passages,
+    secret_scan,
+    sentence_pieces,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +50,41 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.decision_list(docs, labels))
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, n) for n in ("documents", "labels"))
+    model = quality_classifier.train(docs, labels)
+    return quality_classifier.score(docs, model).select(
+        "doc_id",
+        quality_classifier.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_classifier.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeated_passages.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.length("text").cast("long").alias("n_chars"))
+    coded = sentence_pieces.round_trip(docs, sentence_pieces.read_model())
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select("doc_id", "n_chars", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), "restored")
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
     spans = F.col("spans")
@@ -60,5 +105,11 @@ QUERIES: dict[str, Query] = {
     "op1_licence_scan": op1_licence_scan,
     "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
+    "op4_fingerprints": op4_fingerprints,
+    "op5_html_text": op5_html_text,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_repeated_passages": op7_repeated_passages,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_secret_scan": op9_secret_scan,
+    "op10_sentence_pieces": op10_sentence_pieces,
 }
