@@ -280,5 +280,12 @@ def judge(docs: DataFrame, rules: DecisionList) -> DataFrame:
 def keep_good(docs: DataFrame, rules: DecisionList) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
     stats, name = with_statistics(docs)
-    s = F.col(name)
-    return stats.where(~base_failed(s) & rules.keeps(s)).select(*docs.columns)
+    s, kept, row = F.col(name), fresh(docs, "_kept"), fresh(docs, "_row")
+    verdict = stats.select(
+        *docs.columns,
+        (~base_failed(s) & rules.keeps(s)).alias(kept),
+        F.monotonically_increasing_id().alias(row),
+    )
+    # Spark does not move a filter below a row number. Moved down, this one would compute the
+    # statistics anew for each of its conditions.
+    return verdict.where(F.col(kept) & (F.col(row) >= 0)).select(*docs.columns)
