@@ -44,7 +44,7 @@ RUN = 5
 SKETCH_BITS = 26
 SHARD_BITS = 20
 FULL = 15
-_SECOND = np.uint64(0x9E3779B97F4A7C15)
+_FIRST, _SECOND = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
 _SALT = 77
 
 
@@ -64,8 +64,9 @@ def run_of_windows(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 def cells(runs: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The counter of each run in the two rows of the sketch."""
+    # Smallest hashes are small numbers: multiplied, they spread over all counters.
     down = np.uint64(64 - bits)
-    return (runs >> down).astype(np.int64), ((runs * _SECOND) >> down).astype(np.int64) + (1 << bits)
+    return ((runs * _FIRST) >> down).astype(np.int64), ((runs * _SECOND) >> down).astype(np.int64) + (1 << bits)
 
 
 def _entered(words: Words) -> np.ndarray:
@@ -109,7 +110,7 @@ def _partial_sketches(bits: int):
                 if len(runs):
                     found.extend(cells(runs, bits))
                     waiting += len(runs)
-            if waiting > 4_000_000:
+            if waiting > 1_000_000:
                 yield flush()
                 waiting = 0
         if found:

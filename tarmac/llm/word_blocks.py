@@ -18,7 +18,7 @@ _FOLDED[65:91] = _BYTE[97:123]
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 # Bytes looked at in one go; a single longer text makes a larger block.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 
 
 class _Powers:
