@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +25,17 @@ from tarmac.llm import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+ROOT = str(Path(__file__).resolve().parents[2])
+# Texts are long: so many rows keep a batch that goes to Python at a few megabytes.
+ROWS_PER_BATCH = "1000"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    prepare(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+    # Workers started from another folder find this package here, if they share the disk; on a
+    # cluster it is installed or shipped with the job.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
