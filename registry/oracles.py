@@ -504,6 +504,9 @@ ORACLES: dict[str, str] = {
     "dash_kpis_filtered": _dash("", KPI, CHOSEN),
     "dash_daily_trend": _dash("flight_date", TREND),
     "dash_daily_trend_labelled": _dash(
+        "flight_date", TREND, extra=", strftime(flight_date, '%m-%d') AS label"
+    ),
+    "dash_daily_trend_labelled_filtered": _dash(
         "flight_date", TREND, CHOSEN, extra=", strftime(flight_date, '%m-%d') AS label"
     ),
     "dash_airline_perf": _dash(
@@ -520,10 +523,14 @@ ORACLES: dict[str, str] = {
     "dash_delay_distribution_labelled": _distribution(extra=CATEGORY_LABEL),
     "dash_hourly_profile": _dash("scheduled_hour", HOUR, "scheduled_hour IS NOT NULL"),
     "dash_hourly_profile_labelled": _dash(
+        "scheduled_hour", HOUR, extra=", lpad(CAST(scheduled_hour AS VARCHAR), 2, '0') || 'h' AS label"
+    ),
+    "dash_hourly_profile_labelled_filtered": _dash(
         "scheduled_hour", HOUR, CHOSEN, extra=", lpad(CAST(scheduled_hour AS VARCHAR), 2, '0') || 'h' AS label"
     ),
     "dash_weekday_profile": _dash("day_of_week", WEEKDAY, "day_of_week IS NOT NULL"),
-    "dash_weekday_profile_labelled": _dash("day_of_week", WEEKDAY, CHOSEN, extra=WEEKDAY_LABEL),
+    "dash_weekday_profile_labelled": _dash("day_of_week", WEEKDAY, extra=WEEKDAY_LABEL),
+    "dash_weekday_profile_labelled_filtered": _dash("day_of_week", WEEKDAY, CHOSEN, extra=WEEKDAY_LABEL),
     "dash_top_routes": _dash(
         "origin_airport_code, destination_airport_code, airline_name",
         "total_flights cancelled_flights avg_delay_minutes on_time_pct cancellation_pct",
@@ -532,6 +539,12 @@ ORACLES: dict[str, str] = {
           destination_airport_code, airline_name LIMIT 15""",
     ),
     "dash_gate_perf": _dash(
+        "gate",
+        "total_flights avg_delay_minutes on_time_pct max_delay_minutes",
+        "trim(gate) <> ''",
+        tail="HAVING COUNT(*) >= 20 ORDER BY total_flights DESC, gate LIMIT 15",
+    ),
+    "dash_gate_perf_filtered": _dash(
         "gate",
         "total_flights avg_delay_minutes on_time_pct max_delay_minutes",
         "flight_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-13' AND trim(gate) <> ''",
@@ -594,6 +607,20 @@ ORACLES: dict[str, str] = {
 ORACLES["incr_routes_daily"] = ORACLES["routes_metrics_daily"]
 ORACLES["incr_airline_metrics"] = ORACLES["airline_metrics"]
 ORACLES["incr_delay_analysis"] = ORACLES["delay_analysis"]
+ORACLES["incr_airport_operations"] = ORACLES["airport_operations"]
+ORACLES["incr_stg_airlines"] = ORACLES["stg_airlines"]
+ORACLES["incr_stg_aircraft"] = ORACLES["stg_aircraft"]
+# Movements without an id have no key; the newest of them stands for all.
+ORACLES["incr_stg_flights"] = ORACLES["stg_flights"].replace("'F' || p", "CASE WHEN p % 50 <> 7 THEN 'F' || p END")
+ORACLES["incr_unkeyed"] = """SELECT CAST(ts AS DATE) AS day, COUNT(*) AS deliveries
+  FROM events WHERE (event_id // 2) % 50 = 7 GROUP BY 1"""
+EXPORTED = """public_headline public_airline_breakdown public_tops public_bucket_distribution public_daily_status
+  public_gates_analysis routes_metrics"""
+ORACLES["export_documents"] = " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, COUNT(*) AS total_records, COUNT(*) AS records, COUNT(*) AS record_count"
+    f" FROM ({ORACLES[table]})"
+    for table in EXPORTED.split()
+)
 
 
 def _records(table: str, columns: str) -> str:

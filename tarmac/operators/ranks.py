@@ -5,32 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.config import durable
 
-ONE_TASK_ROWS = 100_000
-SLICES = 200
-
-
-def add_ranks(
-    df: DataFrame, ranks: dict[str, Column], one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def add_ranks(df: DataFrame, ranks: dict[str, Column]) -> DataFrame:
     """Add a rank column per entry; equal values share a rank, gaps follow.
 
     ``ranks`` maps the new column to a numeric order expression, smallest
     first and NULL before all numbers; for a descending rank pass
-    ``descending(value)``. ``df`` is written out once. Up to ``one_task_rows``
-    rows are ranked by plain windows; above that the values are cut into
-    slices that are ranked side by side.
+    ``descending(value)``. Nothing runs before the result is read, and all
+    sizes take the same way.
     """
-    stored = durable(df, "to_rank")
-    if stored.count() <= one_task_rows:
-        whole = Window.partitionBy()
-        return stored.withColumns(
-            {name: F.rank().over(whole.orderBy(order)).cast("long") for name, order in ranks.items()}
-        )
     for name, order in ranks.items():
-        stored = _ranked_in_slices(stored, name, order)
-    return stored
+        df = _ranked(df, name, order)
+    return df
 
 
 def descending(value: Column) -> Column:
@@ -38,31 +24,28 @@ def descending(value: Column) -> Column:
     return F.coalesce(-value.cast("double"), F.lit(float("inf")))
 
 
-def _ranked_in_slices(df: DataFrame, name: str, order: Column) -> DataFrame:
-    # Ranks are worked out on distinct values, so that a value most rows share costs one row.
-    values = durable(df.groupBy(order.alias("_value")).agg(F.count("*").alias("_rows")), "values")
+def _ranked(df: DataFrame, name: str, order: Column) -> DataFrame:
+    """Cut the distinct values into slices at quantiles and rank the slices side by side.
+
+    A value that most rows share costs one row. Only sums per slice, as many as the
+    session has shuffle partitions, meet in one task.
+    """
+    keyed = df.withColumn("_key", order)
+    values = keyed.groupBy(F.col("_key").alias("_value")).agg(F.count("*").alias("_rows"))
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = F.expr(f"array({', '.join(f'{i / slices!r}D' for i in range(1, slices)) or '0.5D'})")
     number = F.col("_value").cast("double")
-    bounds = values.agg(
-        F.percentile_approx(number, [i / SLICES for i in range(1, SLICES)], 10_000)
-    ).first()[0]
-    bounds = sorted(set(bounds or []))
-    # As one text each: these arrays are long, and built entry by entry they take seconds to plan.
-    edges = F.expr(f"CAST(array({', '.join(f"double('{b!r}')" for b in bounds)}) AS array<double>)")
-    sliced = values.withColumn(
-        "_slice",
-        F.when(number.isNull(), -1).otherwise(F.size(F.filter(edges, lambda b: b < number))),
-    )
-    # At most SLICES + 1 rows come to the driver.
-    totals = dict(sliced.groupBy("_slice").agg(F.sum("_rows")).collect())
-    # Rows in lower slices; slice -1 holds the NULLs and comes first.
-    before = [sum(n for s, n in totals.items() if s < slice_) for slice_ in range(-1, len(bounds) + 1)]
-    offset = F.expr(f"array({', '.join(f'{n}L' for n in before)})[_slice + 1]")
-    smaller = (
-        Window.partitionBy("_slice").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
+    bounds = values.agg(F.percentile_approx(number, shares, 10_000)).scalar()
+    inside = F.coalesce(F.size(F.filter("_bounds", lambda b: b < number)), F.lit(0))
+    sliced = values.withColumn("_bounds", bounds).select(
+        "_value", "_rows", F.when(number.isNull(), -1).otherwise(inside).alias("_slice")
     )
-    ranked = sliced.select(
+    lower = Window.partitionBy().orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = sliced.groupBy("_slice").agg(F.sum("_rows").alias("_in_slice"))
+    before = before.select("_slice", F.coalesce(F.sum("_in_slice").over(lower), F.lit(0)).alias("_before"))
+    smaller = Window.partitionBy("_slice").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = sliced.join(before, "_slice").select(
         "_value",
-        (offset + F.coalesce(F.sum("_rows").over(smaller), F.lit(0)) + 1).alias(name),
+        (F.col("_before") + F.coalesce(F.sum("_rows").over(smaller), F.lit(0)) + 1).cast("long").alias(name),
     )
-    keyed = df.withColumn("_key", order)
     return keyed.join(ranked, keyed["_key"].eqNullSafe(ranked["_value"])).drop("_key", "_value")

@@ -7,7 +7,7 @@ from datetime import date
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -51,11 +51,10 @@ class Snapshots:
     """A small table, written whole per batch; readers take the last complete version.
 
     The result of a batch depends on the version before it only, so running
-    the batch again yields the same version.
+    the batch again yields the same version. Versions stay until ``drop_old`` is
+    called, so a plan made on one of them can still be run.
     """
 
-    KEPT = 3
-
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
@@ -77,22 +76,31 @@ class Snapshots:
 
     def write(self, df: DataFrame, batch: int) -> None:
         df.write.mode("overwrite").parquet(self._at(batch))
-        for old in self.versions()[: -self.KEPT]:
+
+    def drop_old(self, kept: int) -> None:
+        """Delete all but the last ``kept`` versions; to be called when no plan reads them any more."""
+        for old in self.versions()[:-kept]:
             discard(self.spark, self._at(old))
 
 
+def on_days(column: str, days: Sequence[date | None]) -> Column:
+    """Rows of some days; None stands for rows without a day."""
+    known = F.col(column).isin([day for day in days if day is not None])
+    return known | F.col(column).isNull() if None in days else known
+
+
 class Days:
     """A large table partitioned by day; a batch replaces whole days."""
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, day: str = "flight_date"):
         self.spark, self.path, self.schema, self.day = spark, path, schema, day
 
-    def read(self, days: Sequence[date] | None = None) -> DataFrame:
+    def read(self, days: Sequence[date | None] | None = None) -> DataFrame:
         """All rows, or those of some days; other days' files are not opened."""
         if not exists(self.spark, self.path):
             return self.spark.createDataFrame([], self.schema)
         rows = self.spark.read.schema(self.schema).parquet(self.path).select(self.schema.names)
-        return rows if days is None else rows.filter(F.col(self.day).isin(list(days)))
+        return rows if days is None else rows.filter(on_days(self.day, days))
 
     def replace(self, df: DataFrame, days: Sequence[date], staging: str) -> None:
         """Make ``df`` the content of ``days``.
@@ -120,7 +128,7 @@ class Days:
             self._drop_empty(df, days)
 
     def _at(self, day: date) -> str:
-        return f"{self.path}/{self.day}={day}"
+        return f"{self.path}/{self.day}={'__HIVE_DEFAULT_PARTITION__' if day is None else day}"
 
     def _drop_empty(self, staged: DataFrame, days: Sequence[date]) -> None:
         """Remove the partitions of replaced days that have no rows any more."""

@@ -216,17 +216,22 @@ def airline_metrics(fact: DataFrame) -> DataFrame:
     return rank_airlines(airline_totals(fact))
 
 
-def _peak_hour(movement: str) -> Column:
-    """Scheduled hour with most movements; the earliest of several, NULL without movements."""
-    slots = []
-    for hour in [*range(24), None]:
-        value = "CAST(NULL AS INT)" if hour is None else str(hour)
-        slots.append(
-            f"struct(sum(records) FILTER (WHERE movement_type = '{movement}'"
-            f" AND scheduled_hour <=> {value}) AS n, -({value}) AS minus_hour)"
-        )
-    best = F.array_max(F.expr(f"array({', '.join(slots)})"))
-    return F.when(best["n"].isNotNull(), -best["minus_hour"]).cast("long")
+def _peak_hours(reduced: DataFrame) -> DataFrame:
+    """Per airport the scheduled hour with most departures and with most arrivals.
+
+    The earliest of several; an unknown hour counts as one, and wins only with more.
+    """
+    slots = (
+        reduced.filter(F.col("movement_type").isin("D", "A"))
+        .groupBy("airport_code", "movement_type", "scheduled_hour")
+        .agg(F.sum("records").alias("n"))
+    )
+    hour = F.struct(F.col("n"), (-F.col("scheduled_hour")).alias("minus_hour"))
+    best = {kind: F.max(F.when(F.col("movement_type") == kind, hour)) for kind in ("D", "A")}
+    return slots.groupBy(F.col("airport_code").alias("_peak_airport")).agg(
+        (-best["D"]["minus_hour"]).cast("long").alias("peak_departure_hour"),
+        (-best["A"]["minus_hour"]).cast("long").alias("peak_arrival_hour"),
+    )
 
 
 def airport_totals(fact: DataFrame) -> DataFrame:
@@ -246,10 +251,10 @@ def airport_totals(fact: DataFrame) -> DataFrame:
         F.sum("on_time").alias("total_on_time_flights"),
         F.count_distinct("airline_code").alias("unique_airlines"),
         F.count_distinct("origin_destination_code").alias("unique_destinations"),
-        _peak_hour("D").alias("peak_departure_hour"),
-        _peak_hour("A").alias("peak_arrival_hour"),
         *_ends(),
     )
+    peaks = _peak_hours(reduced)
+    totals = totals.join(peaks, totals["airport_code"] == peaks["_peak_airport"], "left").drop("_peak_airport")
     return _with_ids(totals, _distinct_ids(known, ["airport_code"]), ["airport_code"])
 
 

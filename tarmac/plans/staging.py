@@ -55,7 +55,12 @@ def newest_delivery_first() -> list:
     ]
 
 
-def _parsed(raw: DataFrame) -> DataFrame:
+def keyless_deliveries(raw: DataFrame) -> DataFrame:
+    """Every delivery that lacks a part of its movement's key, as it came."""
+    return _parsed(raw, "data").filter(F.col("flight_sk").isNull()).select("data", *EXTRACT_STAMPS)
+
+
+def _parsed(raw: DataFrame, *carried: str) -> DataFrame:
     """The documents' fields, still as text where a clock is involved."""
     parsed = raw.select(
         "data",
@@ -67,6 +72,7 @@ def _parsed(raw: DataFrame) -> DataFrame:
         return F.col("document")[key]
 
     fields = parsed.select(
+        *carried,
         *EXTRACT_STAMPS,
         *[field(key).alias(name) for key, name in PLAIN_FIELDS.items()],
         *[text.code(field(key)).alias(name) for key, name in CODE_FIELDS.items()],

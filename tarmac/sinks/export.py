@@ -1,8 +1,9 @@
 """JSON exports: one document per table, and a manifest of what was exported.
 
-The executors write the document. It is one JSON text, cut into part files:
-head, rows, foot, in the order of their names. A table small enough for one
-task is written as one file.
+The executors write. Summaries, whose size their query bounds, become one JSON
+document in one file. Tables that grow with the data (``LINE_TABLES``) become JSON
+lines in as many files as tasks, each line a record, with the metadata as a document
+beside them. The form is a property of the table, not of its size on the day.
 """
 
 from __future__ import annotations
@@ -18,8 +19,6 @@ from pyspark.sql import types as T
 
 from tarmac.operators.tables import discard
 
-ONE_FILE_ROWS = 100_000
-
 # Tables exported by default and their file names.
 DEFAULT_EXPORTS = {
     "public_headline": "headline.json",
@@ -31,6 +30,8 @@ DEFAULT_EXPORTS = {
     "routes_metrics": "routes_metrics.json",
 }
 DEFAULT_PREFIX = "data"
+# Tables with a row per route and day, and so without a bound.
+LINE_TABLES = {"routes_metrics", "routes_metrics_daily", "stg_flights", "flights_performance"}
 
 
 @dataclass(frozen=True)
@@ -92,12 +93,15 @@ def export_table(
     path: str,
     source: str | None = None,
     raw: bool = False,
-    one_file_rows: int = ONE_FILE_ROWS,
+    lines: bool | None = None,
 ) -> Exported | None:
     """Write ``{"metadata": ..., "data": [...]}``, or the bare array if ``raw``.
 
-    An empty table writes nothing and returns None.
+    With ``lines`` (by default for ``LINE_TABLES``) every row is a line of its own, and
+    the metadata is a document at ``path`` + ".metadata", left out if ``raw``. An empty table
+    writes nothing and returns None.
     """
+    lines = table in LINE_TABLES if lines is None else lines
     spark = df.sparkSession
     at = datetime.now(timezone.utc)
     rows_path = f"{path}.rows"
@@ -110,6 +114,12 @@ def export_table(
         discard(spark, rows_path)
         return None
     metadata = {"exported_at": at.isoformat(), "source": source or table, "total_records": records}
+    if lines:
+        rows.orderBy("_position").select("value").write.mode("overwrite").text(path)
+        if not raw:
+            _document(spark, json.dumps({"metadata": metadata}), f"{path}.metadata")
+        discard(spark, rows_path)
+        return Exported(table, path, records, at)
     head = "[" if raw else f'{{"metadata": {json.dumps(metadata)}, "data": ['
     foot = "]" if raw else "]}"
     comma = F.when(F.col("_position") == first, "").otherwise(",")
@@ -118,10 +128,7 @@ def export_table(
         .unionByName(_line(spark, BEFORE_ALL, head))
         .unionByName(_line(spark, AFTER_ALL, foot))
     )
-    if records <= one_file_rows:
-        ordered = document.repartition(1).sortWithinPartitions("_position")
-    else:
-        ordered = document.orderBy("_position")
+    ordered = document.repartition(1).sortWithinPartitions("_position")
     ordered.select("value").write.mode("overwrite").text(path)
     discard(spark, rows_path)
     return Exported(table, path, records, at)
@@ -135,6 +142,10 @@ def _line(spark: SparkSession, position: int, text: str) -> DataFrame:
     return spark.range(1).select(F.lit(position).cast("long").alias("_position"), F.lit(text).alias("value"))
 
 
+def _document(spark: SparkSession, text: str, path: str) -> None:
+    _line(spark, 0, text).select("value").coalesce(1).write.mode("overwrite").text(path)
+
+
 def export_all(
     models: Mapping[str, DataFrame],
     root: str,
@@ -184,4 +195,4 @@ def write_manifest(
         "expiration_days": valid_days,
         "objects": {_name(e.path): e.path for e in exported},
     }
-    _line(spark, 0, json.dumps(listing)).select("value").coalesce(1).write.mode("overwrite").text(path)
+    _document(spark, json.dumps(listing), path)

@@ -35,15 +35,14 @@ def _clock(minutes: Column) -> Column:
     return F.format_string("%02d:%02d", F.floor(wrapped / 60), wrapped % 60)
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Use all cores where the scan yields fewer splits; a large table is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def _delivered(df: DataFrame) -> DataFrame:
+    """Spread like deliveries that land in many files, however the events are stored."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
-def movement_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw deliveries with the landed table's schema."""
-    events = _spread(spark.read.parquet(f"{sf_dir}/events.parquet")).select(
+def movement_feed(spark: SparkSession, sf_dir: str, keyless_every: int | None = None) -> DataFrame:
+    """Raw deliveries with the landed table's schema; every so many movements lack their id, if asked."""
+    events = _delivered(spark.read.parquet(f"{sf_dir}/events.parquet")).select(
         F.floor(F.col("event_id") / 2).alias("p"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("user_id").alias("u"),
@@ -63,8 +62,11 @@ def movement_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )[F.col("event_type")]
     gate_clock = F.when((k < 85) & (k % 3 == 0), _clock(minute + drift + 4))
     tail = u % 7 != 0
+    flight = F.concat(F.lit("F"), p.cast("string"))
+    if keyless_every:
+        flight = F.when(p % keyless_every != 7, flight)
     fields = {
-        "id": F.concat(F.lit("F"), p.cast("string")),
+        "id": flight,
         "arpt": _pick(REPORTING, p % len(REPORTING)),
         "mov": F.when(arrival, "A").otherwise("D"),
         "IATAdestorig": other,

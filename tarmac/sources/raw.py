@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.functions import text
 from tarmac.schemas import EXTRACT_STAMPS, PAYLOAD_KEYS, PAYLOAD_SCHEMA, RAW_SCHEMA
 
 
@@ -47,7 +48,7 @@ def land(raw: DataFrame, path: str) -> None:
 def typed_view(raw: DataFrame, name: str) -> DataFrame:
     """Register the documents' fields as columns of a view; returns its rows."""
     parsed = raw.select(
-        F.from_json("data", PAYLOAD_SCHEMA).alias("document"),
+        F.from_json(text.scalars_only(F.col("data")), PAYLOAD_SCHEMA).alias("document"),
         *[field for field in RAW_SCHEMA.names if field != "data"],
     )
     view = parsed.select(

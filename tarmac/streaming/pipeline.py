@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.config import Settings
-from tarmac.operators.tables import Days, Snapshots, discard, is_complete, upsert
+from tarmac.operators.tables import Days, Snapshots, discard, is_complete, on_days, upsert
 from tarmac.plans import marts, staging
 from tarmac.schemas import RAW_SCHEMA
 
@@ -62,19 +62,26 @@ class Pipeline:
             name: (build, Days(spark, f"{self.root}/{name}", build(fact).schema))
             for name, build in BY_DAY.items()
         }
-        names = [*BY_KEY, "high_water"]
+        names = [*BY_KEY, "high_water", "keyless"]
         self.snapshots = {name: Snapshots(spark, f"{self.root}/{name}") for name in names}
 
     # --- what readers see
 
     def fact(self, days: Sequence[date] | None = None) -> DataFrame:
         """The movement fact: two cheap expressions over the stored movements, so not stored again."""
-        return marts.flights_performance(self.flights.read(days))
+        return marts.flights_performance(self.movements(days))
+
+    def movements(self, days: Sequence[date | None] | None = None) -> DataFrame:
+        """The stored movements of some days or all; deliveries without a key are one movement."""
+        stored, keyless = self.flights.read(days), self.snapshots["keyless"].read()
+        if keyless is None:
+            return stored
+        return stored.unionByName(keyless if days is None else keyless.filter(on_days("flight_date", days)))
 
     def model(self, name: str) -> DataFrame:
         """A model by its name; ranks and sums over days are taken when it is read."""
         if name == "stg_flights":
-            return self.flights.read().drop(staging.DELIVERY_HASH)
+            return self.movements().drop(staging.DELIVERY_HASH)
         if name == "flights_performance":
             return self.fact()
         if name in self.by_day:
@@ -88,16 +95,17 @@ class Pipeline:
         return self.snapshots[name].read()
 
     def new_deliveries(self, raw: DataFrame, lookback: timedelta = timedelta(0)) -> DataFrame:
-        """Raw rows extracted after the last batch; all rows if there was none.
+        """Raw rows extracted since the last batch; all rows if there was none.
 
-        ``lookback`` reads that much again, for rows that arrive late; rows
-        delivered twice change nothing.
+        Rows with the last batch's own stamp are read again, as more of them may have
+        arrived since, and with ``lookback`` rows that much older; rows delivered twice
+        change nothing.
         """
         marks = self.snapshots["high_water"].read()
         mark = marks.first()["high_water"] if marks is not None else None
         if mark is None:
             return raw
-        return raw.filter(F.col("_sdc_extracted_at") > F.lit(mark - lookback))
+        return raw.filter(F.col("_sdc_extracted_at") >= F.lit(mark - lookback))
 
     # --- one batch
 
@@ -111,13 +119,21 @@ class Pipeline:
         work = f"{self.root}/_batches/{batch:09d}"
         self._write_once(staging.latest_movements(raw, self.settings), f"{work}/delta")
         delta = self.spark.read.schema(self.flights.schema).parquet(f"{work}/delta")
-        # Without a key a movement cannot be told from others: it is set aside.
-        self._write_once(delta.filter(F.col("flight_sk").isNull()), self._unkeyed_at(batch))
+        # Without a key deliveries cannot be told apart: all are set aside as they came, and the
+        # newest stands for them among the movements, as in a full build.
+        self._write_once(staging.keyless_deliveries(raw), self._unkeyed_at(batch))
+        replaced = self._keep_keyless(delta.filter(F.col("flight_sk").isNull()), batch)
         keyed = delta.filter(F.col("flight_sk").isNotNull())
         # The days are partition directories, so the driver lists them anyway.
         days = [row[0] for row in keyed.select("flight_date").distinct().collect()]
+        changed = delta.select(GROUP_COLUMNS).limit(0)
         if days:
             changed = self._merge(keyed, days, work)
+        if replaced is not None:
+            changed = changed.unionByName(replaced.select(GROUP_COLUMNS))
+            # At most two rows: the keyless movement before and after the batch.
+            days += [row[0] for row in replaced.select("flight_date").distinct().collect() if row[0] not in days]
+        if days:
             self._refresh(changed, days, batch, work)
         self._advance(delta, batch)
         discard(self.spark, work)
@@ -125,10 +141,19 @@ class Pipeline:
     def _unkeyed_at(self, batch: int) -> str:
         return f"{self.root}/unkeyed/batch={batch:09d}"
 
+    def _keep_keyless(self, arrived: DataFrame, batch: int) -> DataFrame | None:
+        """Store the newest keyless movement; returns its versions before and after, if any came."""
+        if arrived.isEmpty():
+            return None
+        table = self.snapshots["keyless"]
+        before = table.read(before=batch)
+        both = arrived if before is None else arrived.unionByName(before)
+        table.write(both.orderBy(*staging.newest_delivery_first()).limit(1), batch)
+        return both
+
     def unkeyed(self, batch: int) -> DataFrame:
-        """Movements of a batch that lack a part of their key."""
-        rows = self.spark.read.schema(self.flights.schema).parquet(self._unkeyed_at(batch))
-        return rows.drop(staging.DELIVERY_HASH)
+        """All deliveries of a batch that lack a part of their key, with their documents."""
+        return self.spark.read.parquet(self._unkeyed_at(batch))
 
     def _write_once(self, df: DataFrame, path: str) -> None:
         if not is_complete(self.spark, path):
