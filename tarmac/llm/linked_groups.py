@@ -20,8 +20,9 @@ def groups(links: DataFrame) -> DataFrame:
     edges = links.where("a <> b").select(F.col("a").cast("long"), F.col("b").cast("long")).distinct()
     moves: list[DataFrame] = []
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        edges = durable(both, "links")
+        # Both directions of a link from one reading of it.
+        ends = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+        edges = durable(edges.select(ends.alias("e")).select("e.*"), "links")
         if edges.isEmpty():
             break
         rank = lambda c, n=len(moves): F.struct(F.xxhash64(F.lit(n), c).alias("h"), F.col(c).alias("node"))

@@ -7,7 +7,6 @@
 2. Classes that share a band are candidates. In each band a class is paired with the
    band's hub only, the class that shares most bands with others. Likeness comes from the
    packed bits: bit counts of the planes' differences, corrected for equal bits by chance.
-   Each class tries its likeliest hub, then those hubs that are not of its group by then.
 3. Candidates are confirmed on the words themselves: 100 * common >= 75 * all.
 4. Bands whose classes are still in several groups are then searched in full, between
    groups only, so no link between candidates is lost, and no pairs are formed inside a
@@ -233,11 +232,6 @@ def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
     return sure.groupBy("cid").agg(F.first("text").alias("text"))
 
 
-def _labels(links: DataFrame) -> DataFrame:
-    found = groups(links).select(F.col("id").alias("cid"), F.col("smallest").alias("label"))
-    return durable(found, "labels")
-
-
 def components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n_shingles, k1, k2) per row, and (k1, k2, cid, component) per class of equal sets."""
     read = id_and_text(docs)
@@ -269,23 +263,12 @@ def components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         stars.join(facts.alias("x"), "cid")
         .join(facts.select(F.col("cid").alias("hub"), "n_shingles", "planes").alias("y"), "hub")
         .where(_close("x", "y"))
-        .select("cid", "hub", likeness(F.col("x.planes"), F.col("y.planes")).alias("like")),
+        .select(F.col("hub").alias("a"), F.col("cid").alias("b")),
         "rated",
     )
-    # First every class tries its likeliest hub, then the other hubs that are still of another group.
-    best = rated.groupBy("cid").agg(F.max(F.struct("like", (-F.col("hub")).alias("hub"))).alias("best"))
-    first = best.select(F.col("cid").alias("b"), (-F.col("best.hub")).alias("a"))
-    links = durable(_links(durable(first, "first"), texts), "links")
-    label = _labels(links)
-    others = (
-        rated.join(label.withColumnRenamed("label", "x"), "cid", "left")
-        .join(label.select(F.col("cid").alias("hub"), F.col("label").alias("y")), "hub", "left")
-        .where(F.coalesce("x", "cid") != F.coalesce("y", "hub"))
-        .select(F.col("cid").alias("b"), F.col("hub").alias("a"))
-        .join(first, ["a", "b"], "left_anti")
-    )
-    links = durable(links.unionByName(_links(durable(others, "others"), texts)), "links")
-    label = _labels(links)
+    links = durable(_links(rated, texts), "links")
+    found = groups(links).select(F.col("id").alias("cid"), F.col("smallest").alias("label"))
+    label = durable(found, "labels")
 
     # Then all pairs between groups in the bands that still hold several.
     labelled = members.join(label, "cid", "left").select("band", "cid", F.coalesce("label", "cid").alias("label"))
@@ -302,9 +285,8 @@ def components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = x.join(y, met & alike & _first_band("x", "y")).select(
         F.col("x.cid").alias("a"), F.col("y.cid").alias("b")
     )
-    tried = rated.select(F.col("hub").alias("a"), F.col("cid").alias("b"))
-    tried = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = _links(durable(pairs.join(tried, ["a", "b"], "left_anti"), "pairs"), texts)
+    tried = rated.unionByName(rated.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    more = durable(_links(durable(pairs.join(tried, ["a", "b"], "left_anti"), "pairs"), texts), "more")
     final = durable(groups(links.unionByName(more)), "final")
     named = classes.select("k1", "k2", "cid").join(
         final.withColumnRenamed("id", "cid"), "cid", "left"
