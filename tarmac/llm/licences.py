@@ -6,7 +6,8 @@ known licence sentences. A text is then a sequence of sentence identifiers, with
 gap wherever other sentences stand in between. Licence rules are ordered
 sequences of identifiers: the first rule that occurs in the sequence names its
 licence and uses its sentences up, so a full licence text is not also reported
-as the shorter notice it contains.
+as the shorter notice it contains. All rights reserved means no licence only where none is
+found beside it, as licence texts have that line below their copyright, too.
 
 Only texts with one of a few anchor words can hold a known sentence (every known
 sentence has one), so all others skip the cutting. Everything is a built-in
@@ -54,6 +55,7 @@ SENTENCES = {
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "BSDBinary",
     "this source code form is subject to the terms of the mozilla public license v. 2.0": "MPL2Notice",
     "this is free and unencumbered software released into the public domain": "Unlicense",
+    "all rights reserved": "NoLicense",
     "all rights reserved no license": "NoLicense",
 }
 
@@ -102,7 +104,7 @@ RULES = [
 ]
 
 # Every known sentence has one of these; ``test_every_sentence_has_an_anchor`` holds them to it.
-ANCHORS = ["licen", "copyright", "permission", "warrant", "redistribut", "general public", "public domain"]
+ANCHORS = ["licen", "copyright", "permission", "warrant", "redistribut", "general public", "public domain", "all rights"]
 
 CUT = r"[\r\n]+|[.!?;]+[ \t]+"
 GAP = "-"
@@ -150,8 +152,8 @@ def scan(docs: DataFrame) -> DataFrame:
         sequence = "".join(map(_token, names))
         found.append(F.when(F.contains(rest, F.lit(sequence)), F.lit(licence)))
         rest = F.replace(rest, F.lit(sequence), F.lit("<+>"))
-    licences = F.when(F.col("_ids") == "", F.lit("")).otherwise(
-        F.array_join(F.array_distinct(F.array_compact(F.array(*found))), ",")
-    )
+    granted = F.array_distinct(F.array_compact(F.array(*found)))
+    granted = F.when(F.size(granted) > 1, F.array_remove(granted, "none")).otherwise(granted)
+    licences = F.when(F.col("_ids") == "", F.lit("")).otherwise(F.array_join(granted, ","))
     listed = F.regexp_replace(F.regexp_replace("_ids", "><", ","), "[<>]", "")
     return ids.select("doc_id", listed.alias("sentence_ids"), licences.alias("licences"))

@@ -40,6 +40,30 @@ def test_licence_texts(docs):
     assert got[3] == got[4] == ("", "")
 
 
+# Every kind of licence line in the given documents, labelled by hand.
+LABELLED = {
+    "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+    "All rights reserved.": "none",
+    "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+    "Released under the MIT License.": "MIT",
+    "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+}
+
+
+def test_licence_lines_of_given_documents(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id IS NOT NULL")
+    want = {r["doc_id"]: ",".join({LABELLED[x] for x in (r["text"] or "").split("\n") if x in LABELLED}) for r in frame.collect()}
+    got = {r["doc_id"]: r["licences"] for r in licences.scan(frame).collect()}
+    assert got == want
+    assert {*LABELLED.values()} <= {*want.values()}
+
+
+def test_reserved_rights_beside_a_licence(docs):
+    texts = ["Copyright 2020 X. All rights reserved.", "(c) X\nAll rights reserved.\nLicensed under the MIT License."]
+    got = {r["doc_id"]: r["licences"] for r in licences.scan(docs(*texts)).collect()}
+    assert got == {0: "none", 1: "MIT"}
+
+
 def brute_targets(sizes, weights=(1, 2, 3), cap=3):
     """Hand out the budget round by round; capped sources leave."""
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
