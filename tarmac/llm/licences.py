@@ -1,16 +1,21 @@
 """Licence scans by sentence rules.
 
-A text is cut into sentences, each sentence is normalised (ASCII lower case,
-everything but letters, digits and dots becomes one space) and looked up among
-known licence sentences. A text is then a sequence of sentence identifiers, with a
-gap wherever other sentences stand in between. Licence rules are ordered
-sequences of identifiers: the first rule that occurs in the sequence names its
-licence and uses its sentences up, so a full licence text is not also reported
-as the shorter notice it contains. All rights reserved means no licence only where none is
-found beside it, as licence texts have that line below their copyright, too.
+A text is normalised (ASCII lower case, everything but letters, digits and dots
+becomes one space), with marks where a sentence ends (its sign, a blank line) and
+where a single line break stands, which may wrap a sentence or end a title.
+Comment signs and indentation before a line do not count, nor do the numbers of
+items. Known licence sentences are found between such marks, over wrapped lines,
+too. A text is then a sequence of sentence identifiers, with a gap wherever other
+sentences stand in between. Licence rules are ordered sequences of identifiers:
+the first rule that occurs in the sequence names its licence and uses its
+sentences up, so a full licence text is not also reported as the shorter notice
+it contains. All rights reserved means no licence only where none is found beside
+it, as licence texts have that line below their copyright, too. The SQL twin looks
+at single lines only and differs on wrapped texts, of which the given tables have
+none.
 
 Only texts with one of a few anchor words can hold a known sentence (every known
-sentence has one), so all others skip the cutting. Everything is a built-in
+sentence has one), so all others skip the rest. Everything is a built-in
 expression on one row: no shuffle, no Python.
 
 Defined results: a NULL or empty text has no sentences and no licences; NULL ids
@@ -106,27 +111,66 @@ RULES = [
 # Every known sentence has one of these; ``test_every_sentence_has_an_anchor`` holds them to it.
 ANCHORS = ["licen", "copyright", "permission", "warrant", "redistribut", "general public", "public domain", "all rights"]
 
-CUT = r"[\r\n]+|[.!?;]+[ \t]+"
 GAP = "-"
 
+# Kinds that end with their line; the other patterns open a sentence that runs on over wrapped lines.
+ONE_LINE = {"SPDXApache2", "SPDXMIT", "SPDXGPL3", "Copyright"}
+
+# Steps from a text to its normalised form, one after the other: "|" is the end of a sentence,
+# "/" a line break that may stand inside one.
+NORMAL = [
+    # Comment signs and indentation before a line; an item such as "1)" or "(a)" starts a sentence.
+    (r"(?md)^[^a-z0-9|\n]*+(?:[0-9]{1,2}|[a-z])[)][ \t]", "|"),
+    (r"(?md)^[^a-z0-9.!?;|\n]*+(?:rem|dnl)\b", ""),
+    (r"(?md)^[^a-z0-9|\n]++", ""),
+    # Ends of sentences, also before closing signs at the end of a line.
+    (r"[.!?;]++(?=[ \t\n]|$)", "|"),
+    (r"[^a-z0-9.|\n]+", " "),
+    # A single line break may be a wrapped line; whatever else separates is an end.
+    (r"(?<![ .|\n]) ?\n(?![ .|\n])", "/"),
+    (r"(?<![ .|\n])[ .]*+[|\n][ .|\n]*+", "|"),
+    (r"^[ .|\n]++|(?<![ .|])[ .|]++$", ""),
+    # The numbers of items such as "1." are not sentences.
+    (r"(?:^|[|/])(?:[0-9]{1,2}|[a-z])(?=[|])", ""),
+]
+
 
-def sentences(text: Column) -> Column:
-    """The normalised sentences of a text, in order, empty ones left out."""
+def normalised(text: Column) -> Column:
+    """A text in lower case words, with marks where sentences end and where lines break."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    pieces = F.split(F.translate(text, upper, lower), CUT, -1)
-    plain = F.transform(
-        pieces, lambda s: F.regexp_replace(F.regexp_replace(s, "[^a-z0-9.]+", " "), "^[ .]+|[ .]+$", "")
-    )
-    return F.filter(plain, lambda s: s != "")
+    out = F.translate(F.replace(text, F.lit("\r\n"), F.lit("\n")), upper + "\r|", lower + "\n,")
+    for pattern, by in NORMAL:
+        out = F.regexp_replace(out, pattern, by)
+    return out
+
 
+def _expressions() -> list[tuple[str, str]]:
+    """(expression over normalised text, replacement) of each known sentence, the longest first.
 
-def identifier(sentence: Column) -> Column:
-    """The identifier of a normalised sentence, or the gap."""
-    known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    found = F.try_element_at(known, sentence)
+    A sentence starts and ends where a line or sentence does, and may be wrapped anywhere between.
+    """
+    start, end = "(?<![^|/])", "(?![^|/])"
+    out = []
     for pattern, name in PATTERNS.items():
-        found = F.coalesce(found, F.when(sentence.rlike(pattern), F.lit(name)))
-    return F.coalesce(found, F.lit(GAP))
+        body = pattern.removeprefix("^").replace(".*", "[^|<]*").replace(" ", "[ /]")
+        body = body.removesuffix("$") + end if body.endswith("$") else body + "[^|/<]*"
+        out.append((start + body, _token(name) + ("" if name in ONE_LINE else "~")))
+    for sentence in sorted(SENTENCES, key=len, reverse=True):
+        # "v. 2.0" is cut behind its abbreviation.
+        body = sentence.replace(". ", "\0").replace(".", "[.]").replace(" ", "[ /]").replace("\0", "[ /|]")
+        out.append((start + body + end, _token(SENTENCES[sentence])))
+    return out
+
+
+def identifiers(text: Column) -> Column:
+    """The identifiers of a text's known sentences in order, one gap wherever other sentences stand between."""
+    out = normalised(text)
+    for expression, by in _expressions():
+        out = F.regexp_replace(out, expression, by)
+    # An opened sentence goes on to its end, or to the next known one.
+    out = F.regexp_replace(out, "~[^|<]*+", "")
+    out = F.regexp_replace(out, "(?:^|(?<=>))[^<a-z0-9]*+[a-z0-9][^<]*+", _token(GAP))
+    return F.regexp_replace(out, "(?:^|(?<=>))[^<]++", "")
 
 
 def _token(name: str) -> str:
@@ -135,17 +179,11 @@ def _token(name: str) -> str:
 
 def scan(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, sentence_ids (with gaps), licences in order of the rules."""
-    anchored = F.col("text").rlike("(?i)" + "|".join(ANCHORS))
-    cut = id_and_text(docs).select("doc_id", F.when(anchored, sentences(F.col("text"))).alias("_sentences"))
-    ids = cut.select(
-        "doc_id",
-        F.coalesce(
-            F.array_join(F.transform("_sentences", lambda s: F.concat(F.lit("<"), identifier(s), F.lit(">"))), ""),
-            F.lit(""),
-        ).alias("_ids"),
-    )
-    # Runs of other sentences become one gap; at the ends they say nothing.
-    trimmed = F.regexp_replace(F.regexp_replace("_ids", "(<->)+", "<->"), "^(<->)|(<->)$", "")
+    between = "[^a-z0-9]+(?:(?:rem|dnl)[^a-z0-9]+)?"
+    anchored = F.col("text").rlike("(?i)" + "|".join(a.replace(" ", between) for a in ANCHORS))
+    ids = id_and_text(docs).select("doc_id", F.when(anchored, identifiers(F.col("text"))).alias("_ids"))
+    # At the ends, gaps say nothing.
+    trimmed = F.regexp_replace(F.coalesce("_ids", F.lit("")), "^(<->)|(<->)$", "")
     ids = ids.select("doc_id", trimmed.alias("_ids"))
     rest, found = F.col("_ids"), []
     for licence, names in RULES:

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import textwrap
 
 from pyspark.sql import functions as F
 
@@ -64,6 +65,80 @@ def test_reserved_rights_beside_a_licence(docs):
     assert got == {0: "none", 1: "MIT"}
 
 
+AS_IS = "IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES."
+GPL = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+    "License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+)
+GPL_NO_WARRANTY = (
+    "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+    "warranty of FITNESS. See the GNU General Public License for more details."
+)
+BSD = [
+    "Copyright (c) 2020, Some One\nAll rights reserved.",
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution.",
+]
+# Paragraphs as their licences have them.
+FULL = {
+    "MIT": [
+        "Copyright (c) 2020 Some One",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        'documentation files (the "Software"), to deal in the Software without restriction, subject to the following conditions:',
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "THE SOFTWARE " + AS_IS,
+    ],
+    "BSD-2-Clause": [*BSD, "THIS SOFTWARE " + AS_IS],
+    "BSD-3-Clause": [
+        *BSD,
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission.",
+    ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies."
+    ],
+    "GPL-3.0-or-later": [GPL.format(3), GPL_NO_WARRANTY],
+    "GPL-2.0-or-later": [GPL.format(2), GPL_NO_WARRANTY],
+    "Apache-2.0": [
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance '
+        "with the License. You may obtain a copy of the License at",
+        "http://www.apache.org/licenses/LICENSE-2.0",
+    ],
+    "MPL-2.0": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ],
+    "Unlicense": ["This is free and unencumbered software released into the public domain."],
+}
+
+
+def test_wrapped_licence_texts(docs):
+    texts, want = [], []
+    for licence, paragraphs in FULL.items():
+        for width in (30, 60, 70, 80, 10_000):
+            for sign in ("", "# ", " * ", "// ", "\t", ";; ", "REM "):
+                for newline in ("\n", "\r\n"):
+                    lines = "\n\n".join("\n".join(textwrap.fill(x, width) for x in p.split("\n")) for p in paragraphs).split("\n")
+                    texts.append(newline.join(["x = 1", "", *((sign + x).rstrip() for x in lines), "", "y = 2"]))
+                    want.append(licence)
+    got = {r["doc_id"]: r["licences"] for r in licences.scan(docs(*texts)).collect()}
+    assert {texts[i]: x for i, x in got.items() if x != want[i]} == {}
+
+
+def test_lines_stay_apart(docs):
+    texts = [
+        "Project X\nMIT License\nCopyright 2020 X\nReleased under the MIT License\nmore text",
+        "free words here\nAll rights\nreserved",
+        "Licensed under the\n\nMIT License of some sort",
+        "(1) Licensed under the\n    MIT License",
+    ]
+    got = {r["doc_id"]: (r["sentence_ids"], r["licences"]) for r in licences.scan(docs(*texts)).collect()}
+    assert got == {0: ("MITTitle,Copyright,MITNotice", "MIT"), 1: ("NoLicense", "none"), 2: ("", ""), 3: ("MITNotice", "MIT")}
+
+
 def brute_targets(sizes, weights=(1, 2, 3), cap=3):
     """Hand out the budget round by round; capped sources leave."""
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
