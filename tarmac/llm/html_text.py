@@ -3,8 +3,9 @@
 A page is cut into flat text blocks wherever a block-level tag stands; inline
 tags do not cut. Each block is described by its own word count and link density,
 those of the block before and the one behind, and where it stands (inside an
-article, a heading, or an element that by tag, role or class name is a menu, a
-footer, an advert, comments, ...). A decision tree, trained when the operator is
+article, a heading, or an element that by tag, role or a whole class or id is a menu,
+a footer, an advert, comments, ...; headings, articles and the main part are never
+such by class or id, nor is anything inside an article by its id). A decision tree, trained when the operator is
 planned, on the small labelled table below, decides which blocks are main text.
 
 Character references are decoded, white space inside a block becomes one space,
@@ -39,20 +40,30 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style noscript template iframe object svg math textarea title head select".split())
 HEADINGS = {f"h{n}" for n in range(1, 7)}
 MAIN = {"article", "main"}
-CHROME = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "fieldset", "figcaption"}
+CHROME = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "fieldset"}
 # A "p" ends at any of these, and a list item, row or cell at the next one of its kind.
 CLOSES_P = set(
     "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre "
     "section table ul".split()
 )
 CHROME_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "menu", "dialog", "alert", "form"}
-CHROME_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:nav(?:bar|igation)?|menu|breadcrumbs?|footer|foot|site-?header|masthead|topbar|side(?:bar)?|"
-    r"notices?|cookies?|consent|gdpr|banner|alert|popup|modal|overlay|ads?|adv|adverts?|advertisement|sponsor(?:ed)?|"
-    r"promo(?:tion)?|newsletter|subscribe|subscription|signup|login|search|form|comments?|replies|reply|disqus|"
-    r"respond|share|sharing|social|related|recommend(?:ed|ations)?|pagination|pager|widget|toolbar|copyright|legal|"
-    r"disclaimer|tags|skip)(?:$|[\s_-])",
-    re.I,
+# A class or id is chrome if each of its parts is one of these or says only where or how it stands.
+CHROME_WORDS = set(
+    "nav navbar navigation menu breadcrumb breadcrumbs footer foot siteheader masthead topbar side sidebar notice notices "
+    "cookie cookies consent gdpr banner alert popup modal overlay ad ads adv advert adverts advertisement sponsor sponsored "
+    "promo promotion newsletter subscribe subscription signup login search form comment comments replies reply disqus "
+    "respond share sharing social related recommend recommended recommendation recommendations pagination pager widget "
+    "toolbar copyright legal disclaimer tags skip".split()
+)
+PLAIN_WORDS = set(
+    "site page main primary secondary global top bottom left right upper lower inner outer wrap wrapper container box bar "
+    "block area panel list item items link links button buttons btn icon icons post posts entry entries articles thread".split()
+)
+# Those that are also subjects: within the main text, an id with one of them names a section.
+SUBJECTS = set(
+    "navigation menu foot side notice notices cookie cookies consent gdpr alert popup modal overlay adv advertisement "
+    "promotion newsletter subscription login search form reply share sharing social related recommendation "
+    "recommendations widget toolbar copyright legal disclaimer tags skip".split()
 )
 MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story|content|main|body-?text|text)(?:$|[\s_-])", re.I)
 
@@ -61,10 +72,11 @@ TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|(?P<text>[^<]+|<)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 WHITE = re.compile(r"\s+")
 
-HEADER_NAMES = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])", re.I)
+PARTS = re.compile(r"[_-]+")
+NUMBER = re.compile(r"\d+(?:x\d+)?")
 ITEMS = {"li", "tr", "td", "th", "dt", "dd", "option"}
 
 FEATURES = ["words", "links", "before_words", "before_links", "behind_words", "behind_links", "main", "chrome", "heading", "item"]
@@ -92,9 +104,10 @@ class Place:
     item: int = 0
     hidden: int = 0
     link: int = 0
+    article: int = 0
 
     def inside(self, tag: str, attrs: str) -> Place:
-        main, chrome, hidden = _standing(tag, attrs, self.main)
+        main, chrome, hidden, article = _standing(tag, attrs, self.main, self.article)
         return Place(
             tag,
             int(main or self.main),
@@ -103,27 +116,46 @@ class Place:
             int(self.item or tag in ITEMS),
             int(self.hidden or hidden),
             int(self.link or tag == "a"),
+            int(self.article or article),
         )
 
 
+def _parts(name: str, in_main: int) -> tuple[list[str], bool]:
+    """The parts of a class or id, and whether one of them is a chrome word; an article's own header is none."""
+    parts = [p for p in PARTS.split(name.lower()) if p and not NUMBER.fullmatch(p)]
+    if in_main and "site" not in parts:
+        return parts, not CHROME_WORDS.isdisjoint(parts)
+    return [p for p in parts if p != "header"], "header" in parts or not CHROME_WORDS.isdisjoint(parts)
+
+
 @lru_cache(10_000)
-def _standing(tag: str, attrs: str, in_main: int) -> tuple[int, int, int]:
-    """(main, chrome, hidden) of an element by its tag and attributes; an article's own header is main."""
-    main, hidden = int(tag in MAIN), 0
+def _standing(tag: str, attrs: str, in_main: int, in_article: int) -> tuple[int, int, int, int]:
+    """(main, chrome, hidden, article) of an element by its tag and attributes; an article's own header is main."""
+    main, hidden, article = int(tag in MAIN), 0, int(tag == "article")
     chrome = int(tag in CHROME and not (tag == "header" and in_main))
+    names = []
     for name, value in ATTRIBUTE.findall(attrs) if attrs else ():
         name, value = name.lower(), value.strip("\"'")
         if name == "role":
             chrome |= value.lower() in CHROME_ROLES
             main |= value.lower() in ("main", "article")
+            article |= value.lower() == "article"
         elif name in ("class", "id") and tag not in ("html", "body"):
-            if CHROME_NAMES.search(value) or (HEADER_NAMES.search(value) and not in_main):
-                chrome = 1
-            elif MAIN_NAMES.search(value):
-                main = 1
+            names.append((name == "id", value))
         elif name == "hidden" or (name == "style" and re.search(r"display\s*:\s*none", value, re.I)):
             hidden = 1
-    return main, chrome, hidden
+    # Names do not make chrome of a heading, an article or the main part, nor do ids inside an article.
+    may = tag not in HEADINGS and not main
+    for is_id, value in names:
+        for name in value.split():
+            parts, worded = _parts(name, in_main)
+            if not worded:
+                main |= int(MAIN_NAMES.search(name) is not None)
+            elif may and all(p in CHROME_WORDS or p in PLAIN_WORDS for p in parts):
+                # "related-posts" is chrome, "related-work" is not.
+                if not (is_id and (in_article or (in_main and not SUBJECTS.isdisjoint(parts)))):
+                    chrome = 1
+    return main, chrome, hidden, article
 
 
 def blocks(page: str) -> list[Block]:

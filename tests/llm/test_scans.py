@@ -123,6 +123,38 @@ def test_odd_pages(spark):
     assert html_text.extract(frame.limit(0)).count() == 0
 
 
+def test_articles_keep_named_parts(spark):
+    long = " ".join(["word"] * 30)
+    article = (
+        '<h2 id="related-work">Related work</h2><p>{0}</p><section id="social-history"><h3 id="search">Search</h3><p>{0} a</p></section>'
+        '<section id="comments"><p>{0} b</p></section><div class="side-effects"><p>{0} c</p></div><h3 class="legal search">Legal</h3>'
+        '<figure><img src=x><figcaption>A caption</figcaption></figure><p title="a hidden id=search" data-class="x class=ad">{0} d</p>'
+        '<a name="footer"></a><p>{0} e</p>'
+    ).format(long)
+    want = f"Related work {long} Search {long} a {long} b {long} c Legal A caption {long} d {long} e"
+    furniture = [
+        '<div class="widget related-posts">{}</div>', '<div id="site-header">{}</div>', "<div class='x Cookie_Notice'>{}</div>",
+        "<div class=ad-300x250>{}</div>", "<div id=page-footer>{}</div>", "<div role=search>{}</div>",
+        "<aside><div class=sidebar-content>{}</div></aside>", '<nav><h2 id="main-menu">{}</h2></nav>',
+    ]
+    around = "".join(x.format("away " * 12) for x in furniture)
+    pages = [
+        f'<article class="post category-legal">{article}</article>',
+        f'<article class="search" id="related">{article}</article>{around}',
+        f'{around}<div role="article" class="ad">{article}</div>',
+        f'{around}<main id="search"><article>{article}<div class="share-buttons"><p>away</p></div></article><div id="comments"><p>away</p></div></main>',
+    ]
+    frame = spark.createDataFrame([(i, "u", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.extract(frame).collect()}
+    assert got == dict.fromkeys(range(len(pages)), want)
+    # Outside an article, too, subjects are sections of the main part, and plain pages keep names that only begin like chrome.
+    sections = f'<section id="search"><h2>Search</h2><p>{long}</p></section><section id="legal-notice"><p>{long}</p></section>'
+    plain = f'<div id="related-work"><p>{long}</p></div><div class="header-files"><p>{long}</p></div>'
+    frame = spark.createDataFrame([(0, "u", f"<main>{sections}</main>"), (1, "u", plain)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.extract(frame).collect()}
+    assert got == {0: f"Search {long} {long}", 1: f"{long} {long}"}
+
+
 def test_tree_learns_its_table():
     table = html_text.labelled_table()
     assert len(table) < 200
