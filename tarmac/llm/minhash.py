@@ -17,7 +17,8 @@ With 32 bands of four, a pair at similarity 0.75 is no candidate once in 2 * 10^
 less above; a pair that reaches 0.75 is estimated below 0.5 once in 10^9.
 
 Defined results: a NULL or empty text has no shingles and links with nothing; rows with
-equal sets are one group whatever their ids; rows with a NULL id link with nothing, have
+equal sets are one group whatever their ids; of several texts under one id each links
+by its own set; rows with a NULL id link with nothing, have
 a NULL component and are kept; repeated rows get the same result each; an empty table
 gives no rows; further columns are not read.
 """
@@ -224,26 +225,30 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cid, text) of the wanted classes, from the row whose id gave the class its name."""
-    ids = wanted.select("cid").distinct()
-    found = docs.join(ids, docs["doc_id"] == ids["cid"]).select("cid", "text", F.arrow_udf(_keyed, KEYED)("text").alias("k"))
-    keys = classes.select("cid", "k1", "k2")
-    sure = found.select("cid", "text", "k.k1", "k.k2").join(keys, ["cid", "k1", "k2"])
+    """(cid, text) of the wanted classes, each from a row of its smallest id that has its set."""
+    keys = classes.select("cid", "doc_id", "k1", "k2")
+    ids = keys.join(wanted.select("cid").distinct(), "cid", "left_semi").select("doc_id").distinct()
+    found = docs.join(ids, "doc_id").select("doc_id", "text", F.arrow_udf(_keyed, KEYED)("text").alias("k"))
+    sure = found.select("doc_id", "text", "k.k1", "k.k2").join(keys, ["doc_id", "k1", "k2"])
     return sure.groupBy("cid").agg(F.first("text").alias("text"))
 
 
 def components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_shingles, k1, k2) per row, and (k1, k2, cid, component) per class of equal sets."""
+    """(doc_id, n_shingles, k1, k2) per row, and (k1, k2, doc_id, component, first) per class of equal sets.
+
+    A class has its smallest id and the smallest one of its group; of each group one class is the first.
+    Between, a class goes by a number of its own (cid), as one id may stand at several texts.
+    """
     read = id_and_text(docs)
     signed = durable(read.select("doc_id", F.arrow_udf(_signed, SIGNED)("text").alias("s")).select("doc_id", "s.*"), "signed")
     classes = durable(
         signed.where("doc_id IS NOT NULL AND n_shingles > 0")
         .groupBy("k1", "k2")
         .agg(
-            F.min("doc_id").cast("long").alias("cid"),
+            F.min("doc_id").cast("long").alias("doc_id"),
             F.first(F.struct("n_shingles", "planes", "bands")).alias("s"),
         )
-        .select("k1", "k2", "cid", "s.*"),
+        .select("k1", "k2", "doc_id", F.monotonically_increasing_id().alias("cid"), "s.*"),
         "classes",
     )
     members = classes.select("cid", F.explode("bands").alias("band"))
@@ -255,9 +260,10 @@ def components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # The class that shares most bands with others is the likeliest to link with them all: it is
     # the hub of its bands.
     central = durable(members.groupBy("cid").agg(F.sum("n").alias("weight")), "central")
-    weighed = members.join(central, "cid")
-    hubs = weighed.groupBy("band").agg(F.max(F.struct("weight", (-F.col("cid")).alias("cid"))).alias("top"))
-    hubs = durable(hubs.select("band", (-F.col("top.cid")).alias("hub")), "hubs")
+    # Ties go by the set's key, which is the same in every run.
+    weighed = members.join(central.join(classes.select("cid", "k1"), "cid"), "cid")
+    hubs = weighed.groupBy("band").agg(F.max(F.struct("weight", "k1", "cid")).alias("top"))
+    hubs = durable(hubs.select("band", F.col("top.cid").alias("hub")), "hubs")
     stars = members.join(hubs, "band").where("cid <> hub").select("cid", "hub").distinct()
     rated = durable(
         stars.join(facts.alias("x"), "cid")
@@ -288,13 +294,12 @@ def components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     tried = rated.unionByName(rated.select(F.col("b").alias("a"), F.col("a").alias("b")))
     more = durable(_links(durable(pairs.join(tried, ["a", "b"], "left_anti"), "pairs"), texts), "more")
     final = durable(groups(links.unionByName(more)), "final")
-    named = classes.select("k1", "k2", "cid").join(
-        final.withColumnRenamed("id", "cid"), "cid", "left"
-    )
-    return (
-        signed.select("doc_id", "n_shingles", "k1", "k2"),
-        durable(named.select("k1", "k2", "cid", F.coalesce("smallest", "cid").alias("component")), "components"),
-    )
+    named = classes.select("k1", "k2", "doc_id", "cid").join(final.withColumnRenamed("id", "cid"), "cid", "left")
+    named = durable(named.select("k1", "k2", "doc_id", F.coalesce("smallest", "cid").alias("label")), "named")
+    tops = named.groupBy("label").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("top"))
+    first = F.struct("doc_id", "k1", "k2") == F.col("top")
+    ranked = named.join(tops, "label").select("k1", "k2", "doc_id", F.col("top.doc_id").alias("component"), first.alias("first"))
+    return signed.select("doc_id", "n_shingles", "k1", "k2"), durable(ranked, "components")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -319,9 +324,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     key, row = fresh(docs, "_set"), fresh(docs, "_all")
     keyed = docs.select(F.struct(*docs.columns).alias(row), "doc_id", F.arrow_udf(_keyed, KEYED)(F.coalesce("text", F.lit(""))).alias(key))
     apart = F.col("doc_id").isNull() | (F.col(f"{key}.n_shingles") == 0)
-    firsts = classes.where("cid = component").select(
-        F.col("cid").alias("doc_id"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2")
-    )
+    firsts = classes.where("first").select("doc_id", F.col("k1").alias("_k1"), F.col("k2").alias("_k2"))
     plain = keyed.where(~apart).select(row, "doc_id", F.col(f"{key}.k1").alias("_k1"), F.col(f"{key}.k2").alias("_k2"))
     kept = plain.join(firsts, ["doc_id", "_k1", "_k2"], "left_semi")
     one = kept.dropDuplicates(["doc_id", "_k1", "_k2"]).select(row)

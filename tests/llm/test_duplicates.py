@@ -157,6 +157,24 @@ def test_near_duplicates_equal_brute_force(spark, odd):
         assert sorted((tuple(r) for r in got), key=str) == want
 
 
+def test_texts_under_one_id_link_each(spark):
+    draw = random.Random(17)
+    made = []
+    for k in range(40):
+        for at in (100, 200, 300):
+            words = [f"x{draw.randrange(10**6)}" for _ in range(80)]
+            # Three unlike texts under one id, each with a near copy under an id of its own, above or below.
+            made += [(1000 + k, " ".join(words)), (at + k if at < 300 else 3000 + k, edited(draw, words, 1))]
+    same = [f"y{i}" for i in range(80)]
+    made += [(5000, " ".join(same)), (5000, edited(draw, same, 1)), (5001, edited(draw, same, 1))]
+    draw.shuffle(made)
+    frame = spark.createDataFrame(made, "doc_id long, text string")
+    got = sorted((tuple(r) for r in minhash.near_duplicates(frame).collect()), key=str)
+    assert got == brute_groups(made)
+    kept = [r["doc_id"] for r in minhash.keep_one(frame).collect()]
+    assert sorted(kept) == sorted([100 + k for k in range(40)] + [200 + k for k in range(40)] + [1000 + k for k in range(40)] + [5000])
+
+
 def test_odd_near_duplicates(odd):
     got = sorted((tuple(r) for r in minhash.near_duplicates(odd).collect()), key=str)
     assert got.count((6, 36, 6, True)) == 2 and (7, 36, 6, False) in got
