@@ -9,8 +9,9 @@ coordinate descent. The weights are drawn towards their mean size, as the ratio
 is a strong classifier on few rows. The margin becomes a score in [0, 1] by a logistic
 curve fitted on the same rows.
 
-Training reads a bounded sample: at most ``most`` labelled rows, those with the smallest
-hash of their id. Scoring is one pass over the texts with a fixed table of weights.
+Training reads a bounded sample: at most ``most`` labelled documents, those with the smallest
+hash of their id, and where ids repeat 4 * ``most`` of their rows, those with the smallest
+hashes of id and text. Scoring is one pass over the texts with a fixed table of weights.
 
 Defined results: a NULL or empty text has no n-grams and is scored by the bias; NULL
 ids are never held out or trained on; a document with two different labels is not
@@ -30,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import id_and_text, whole
+from tarmac.llm.quality_rules import smallest_hashes, text_key
 
 BUCKETS = 1 << 16
 SAMPLE_ROWS = 4000
@@ -166,8 +168,9 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> Model:
             yield pa.array([grams(t.encode()).astype(np.uint16).tobytes() for t in batch.to_pylist()], pa.binary())
 
     # The sample is bounded by ``most``, and so is what is broadcast and collected.
-    texts = id_and_text(docs).join(F.broadcast(chosen), "doc_id").select("text", "label")
-    found = texts.limit(4 * most).select(buckets("text").alias("grams"), "label").collect()
+    texts = id_and_text(docs).join(F.broadcast(chosen), "doc_id")
+    read = texts.select("doc_id", text_key(F.col("text")).alias("_key"), buckets("text").alias("grams"), "label")
+    found = smallest_hashes(read, 4 * most).select("grams", "label").collect()
     rows = [np.frombuffer(r["grams"], np.uint16).astype(np.int64) for r in found]
     return fit(rows, np.array([r["label"] for r in found], np.int64))
 

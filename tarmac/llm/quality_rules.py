@@ -241,8 +241,21 @@ def learn(rows: list[tuple]) -> DecisionList:
     return DecisionList(tuple(rules))
 
 
+def text_key(text: Column) -> Column:
+    return F.sha2(whole(text), 256)
+
+
+def smallest_hashes(rows: DataFrame, most: int) -> DataFrame:
+    """Of rows with doc_id and _key the ``most`` smallest by a hash of both, so from all ids; rows that tie are the same."""
+    return rows.orderBy(F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), "_key")), "doc_id", "_key").limit(most)
+
+
 def labelled_rows(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> list[tuple]:
-    """Statistics of at most ``most`` labelled texts; a document with two different labels is left out."""
+    """Statistics of the texts of at most ``most`` labelled documents; one with two different labels is left out.
+
+    Where ids repeat, at most 4 * ``most`` rows are read, those with the smallest hashes of id and text, so
+    that they are the same in every run.
+    """
     chosen = (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
@@ -254,10 +267,10 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -
     )
     # The sample is bounded by ``most``, and so is what is broadcast.
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    stats, name = with_statistics(texts)
+    stats, name = with_statistics(texts.withColumn("_key", text_key(F.col("text"))))
     values = features(F.col(name))
-    picked = stats.select(*[values[f].alias(f) for f in FEATURES], (1 - F.col("_label")).alias("_bad"))
-    return [tuple(r) for r in picked.limit(4 * most).collect()]
+    read = stats.select("doc_id", "_key", *[values[f].alias(f) for f in FEATURES], (1 - F.col("_label")).alias("_bad"))
+    return [tuple(r)[2:] for r in smallest_hashes(read, 4 * most).collect()]
 
 
 def decision_list(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> DecisionList:

@@ -1,5 +1,6 @@
 """Licences, mixing and quality rules."""
 
+import hashlib
 import math
 import random
 import re
@@ -7,7 +8,7 @@ import textwrap
 
 from pyspark.sql import functions as F
 
-from tarmac.llm import licences, mixing, quality_rules
+from tarmac.llm import licences, mixing, quality_classifier, quality_rules
 from tarmac.llm.licences import ANCHORS, PATTERNS, RULES, SENTENCES
 from tests.conftest import SF
 
@@ -139,6 +140,26 @@ def test_lines_stay_apart(docs):
     assert got == {0: ("MITTitle,Copyright,MITNotice", "MIT"), 1: ("NoLicense", "none"), 2: ("", ""), 3: ("MITNotice", "MIT")}
 
 
+def test_samples_of_repeated_ids_are_the_same_in_every_run(spark):
+    rows = [(k, " ".join(f"w{(k * 31 + i * 7 + j) % 97}" * (1 + j % 3) for j in range(20 + i)) + "!" * (i % 5)) for k in range(6) for i in range(60)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(6)], "doc_id long, quality int")
+    lists, scores = [], []
+    for seed in range(4):
+        random.Random(seed).shuffle(rows)
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+        lists.append(quality_rules.labelled_rows(frame, labels, most=5))
+        model = quality_classifier.train(frame, labels, most=5)
+        scores.append([model.score(t.encode()) for _, t in sorted(rows)[:5]])
+    assert all(x == lists[0] for x in lists) and len(lists[0]) == 20
+    assert all(x == scores[0] for x in scores) and scores[0][0] != 0.5
+    # The rows taken are those with the smallest hashes.
+    chosen = sorted(range(6), key=lambda k: hashlib.md5(str(k).encode()).hexdigest())[:5]
+    key = lambda k, t: hashlib.md5(f"{k}:{hashlib.sha256(t.encode()).hexdigest()}".encode()).hexdigest()
+    order = sorted((r for r in rows if r[0] in chosen), key=lambda r: key(*r))
+    kept = spark.createDataFrame(order[:20], "doc_id long, text string")
+    assert quality_rules.labelled_rows(kept, labels, most=5) == lists[0]
+
+
 def brute_targets(sizes, weights=(1, 2, 3), cap=3):
     """Hand out the budget round by round; capped sources leave."""
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
