@@ -16,7 +16,8 @@ same words as a window of a text with a smaller id.
 3. The places found go back to their texts, which are cut.
 
 The sketch has a fixed size whatever the corpus: where a corpus outgrows it, more
-windows reach the exact pass, and the result stays the same.
+windows reach the exact pass, and the result stays the same. Near 30 GB of text it is
+saturated, and nearly all windows do.
 
 Defined results: a NULL or empty text has no words; a text of fewer than 13 words keeps
 all; rows with a NULL id neither lose words nor make others lose any; rows with equal
