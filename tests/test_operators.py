@@ -50,6 +50,36 @@ def test_sliced_ranks_of_nothing_and_of_nulls(spark):
     assert [row.up for row in add_ranks(nulls, {"up": F.col("v")}).collect()] == [1, 1]
 
 
+def test_ranks_keep_large_whole_numbers_and_other_types_apart(spark):
+    big = 1 << 60
+    rows = [(big, "b", 2.0), (big + 1, "a", float("nan")), (big + 2, None, -0.0), (big + 2, "c", 0.0)]
+    df = spark.createDataFrame(rows, "n long, s string, x double")
+    ranks = {"n_up": F.col("n"), "n_down": descending(F.col("n")), "s_down": descending(F.col("s")), "x_up": F.col("x")}
+    got = sorted((r.n, r.s or "", r.n_up, r.n_down, r.s_down, r.x_up) for r in add_ranks(df, ranks).collect())
+    assert got == [
+        (big, "b", 1, 4, 2, 3),
+        (big + 1, "a", 2, 3, 3, 4),
+        (big + 2, "", 3, 1, 4, 1),
+        (big + 2, "c", 3, 1, 1, 1),
+    ]
+
+
+def test_ranks_read_their_rows_once_per_use(spark):
+    df = spark.range(100).select("id", (F.col("id") % 7).alias("v"))
+    ranks = {f"r{i}": descending(F.col("v") * i) if i % 2 else F.col("v") + i for i in range(6)}
+    counts = []
+    for n in (2, 6):
+        some = dict(list(ranks.items())[:n])
+        plan = add_ranks(df, some)._jdf.queryExecution().executedPlan().toString()
+        counts.append((plan.count("FileScan"), plan.count("Exchange"), plan.count("Subquery")))
+    # More ranks read nothing more: the rows, their values, the ranges and the rows per range.
+    assert counts[0] == counts[1]
+    assert counts[0][0] == 4 and counts[0][2] == 0
+    got = add_ranks(df, ranks).groupBy().agg(*[F.max(n).alias(n) for n in ranks], F.count("*").alias("n")).first()
+    # The largest value has 14 rows, the smallest 15.
+    assert (got.n, got.r0, got.r1) == (100, 87, 86)
+
+
 def test_keep_latest_with_a_hot_key(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 7).alias("k"), F.col("id").alias("v")
