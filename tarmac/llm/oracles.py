@@ -118,9 +118,21 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, r.low AS component_id, d.doc_id =
 FROM documents d LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id) r USING (doc_id)"""
 
+_WARC_ARCHIVES = """
+WITH sized AS (
+  SELECT page_id, coalesce(html, '') AS payload, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes
+  FROM pages),
+kept AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload) END AS top FROM sized)
+SELECT page_id, payload_bytes, sha1(payload) AS payload_digest,
+  CASE WHEN top IS NOT NULL AND page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN top IS NOT NULL AND page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM kept"""
+
 ORACLES: dict[str, str] = {
     "op1_licence_scan": _licence_scan(),
     "op2_mixing": _MIXING,
     "op7_repeated_passages": _REPEATED_PASSAGES,
     "op8_near_duplicates": _NEAR_DUPLICATES,
+    "op11_warc_archives": _WARC_ARCHIVES,
 }

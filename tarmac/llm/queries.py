@@ -20,18 +20,21 @@ from tarmac.llm import (
     repeated_passages,
     secret_scan,
     sentence_pieces,
+    warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 ROOT = str(Path(__file__).resolve().parents[2])
-# Texts are long: so many rows keep a batch that goes to Python at a few megabytes.
+# Texts are long: a batch that goes to Python ends after so many rows or bytes.
 ROWS_PER_BATCH = "1000"
+BYTES_PER_BATCH = str(16 << 20)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_PER_BATCH)
     # Workers started from another folder find this package here, if they share the disk; on a
     # cluster it is installed or shipped with the job.
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
@@ -111,6 +114,10 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages")).drop("url")
+
+
 QUERIES: dict[str, Query] = {
     "op1_licence_scan": op1_licence_scan,
     "op2_mixing": op2_mixing,
@@ -122,4 +129,5 @@ QUERIES: dict[str, Query] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_secret_scan": op9_secret_scan,
     "op10_sentence_pieces": op10_sentence_pieces,
+    "op11_warc_archives": op11_warc_archives,
 }
