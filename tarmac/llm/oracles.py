@@ -129,10 +129,43 @@ SELECT page_id, payload_bytes, sha1(payload) AS payload_digest,
   CASE WHEN top IS NOT NULL AND page_id IS DISTINCT FROM top THEN top END AS refers_to
 FROM kept"""
 
+_PREFIX_TRIE = """
+WITH turns AS (
+  SELECT conv_id AS c, list({'role': coalesce(role, ''), 'text': coalesce("text", '')} ORDER BY turn NULLS FIRST) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+plan AS (
+  SELECT c, own, c - c % 5 AS source, CAST(xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda d: ascii(d)::BIGINT)),
+    lambda crc, byte: list_reduce(
+      list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END)), 4294967295::BIGINT) % 9 AS BIGINT) AS h
+  FROM turns),
+built AS (
+  SELECT p.c, list_concat(coalesce(t.own, [])[1:p.h], p.own[p.h + 1:]) AS seq
+  FROM plan p LEFT JOIN turns t ON t.c = p.source),
+prefixes AS (SELECT c, len(seq) AS n, unnest(range(0, len(seq) + 1)) AS d, seq FROM built),
+grouped AS (
+  SELECT seq[1:d] AS node, d, min(c) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CASE WHEN n = d THEN CAST(c AS VARCHAR) END, ',' ORDER BY c), '')) AS ends_sha256
+  FROM prefixes GROUP BY 1, 2),
+kids AS (SELECT node[1:d - 1] AS node, d - 1 AS d, count(*) AS n FROM grouped WHERE d > 0 GROUP BY 1, 2),
+valued AS (
+  SELECT g.*, coalesce(k.n, 0) AS n_children, CASE WHEN g.d > 0 THEN (n_convs - 1) * strlen(g.node[-1]."text") ELSE 0 END AS saved
+  FROM grouped g LEFT JOIN kids k ON k.node = g.node AND k.d = g.d),
+raised AS (SELECT node, n_children, saved, unnest(range(0, d + 1)) AS at FROM valued),
+totals AS (
+  SELECT node[1:at] AS node, at, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM raised GROUP BY 1, 2)
+SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, t.n_leaves,
+  CAST(t.saved_tokens AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM valued v JOIN totals t ON t.node = v.node AND t.at = v.d
+LEFT JOIN grouped p ON p.node = v.node[1:v.d - 1] AND p.d = v.d - 1"""
+
 ORACLES: dict[str, str] = {
     "op1_licence_scan": _licence_scan(),
     "op2_mixing": _MIXING,
     "op7_repeated_passages": _REPEATED_PASSAGES,
     "op8_near_duplicates": _NEAR_DUPLICATES,
     "op11_warc_archives": _WARC_ARCHIVES,
+    "op12_prefix_trie": _PREFIX_TRIE,
 }

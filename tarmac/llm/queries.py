@@ -15,6 +15,7 @@ from tarmac.llm import (
     licences,
     minhash,
     mixing,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     repeated_passages,
@@ -118,6 +119,10 @@ def op11_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages")).drop("url")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_licence_scan": op1_licence_scan,
     "op2_mixing": op2_mixing,
@@ -130,4 +135,5 @@ QUERIES: dict[str, Query] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_sentence_pieces": op10_sentence_pieces,
     "op11_warc_archives": op11_warc_archives,
+    "op12_prefix_trie": op12_prefix_trie,
 }
