@@ -152,13 +152,13 @@ kids AS (SELECT node[1:d - 1] AS node, d - 1 AS d, count(*) AS n FROM grouped WH
 valued AS (
   SELECT g.*, coalesce(k.n, 0) AS n_children, CASE WHEN g.d > 0 THEN (n_convs - 1) * strlen(g.node[-1]."text") ELSE 0 END AS saved
   FROM grouped g LEFT JOIN kids k ON k.node = g.node AND k.d = g.d),
-raised AS (SELECT node, n_children, saved, unnest(range(0, d + 1)) AS at FROM valued),
+raised AS (SELECT node, n_children, saved, unnest(range(0, d + 1)) AS up FROM valued),
 totals AS (
-  SELECT node[1:at] AS node, at, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  SELECT node[1:up] AS node, up, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
   FROM raised GROUP BY 1, 2)
 SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, t.n_leaves,
   CAST(t.saved_tokens AS BIGINT) AS saved_tokens, v.ends_sha256
-FROM valued v JOIN totals t ON t.node = v.node AND t.at = v.d
+FROM valued v JOIN totals t ON t.node = v.node AND t.up = v.d
 LEFT JOIN grouped p ON p.node = v.node[1:v.d - 1] AND p.d = v.d - 1"""
 
 ORACLES: dict[str, str] = {
