@@ -161,6 +161,41 @@ SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, v.n
 FROM valued v JOIN totals t ON t.node = v.node AND t.up = v.d
 LEFT JOIN grouped p ON p.node = v.node[1:v.d - 1] AND p.d = v.d - 1"""
 
+_COLLOCATIONS = r"""
+WITH cut AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+pieces AS (SELECT row_number() OVER () AS piece, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM cut),
+totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+words AS (SELECT piece, lang, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM pieces),
+runs AS (
+  SELECT lang, w AS w1, lead(w, 1) OVER p AS w2, lead(w, 2) OVER p AS w3 FROM words
+  WINDOW p AS (PARTITION BY piece ORDER BY i)),
+seen AS MATERIALIZED (
+  SELECT lang, 1 AS k, w1 AS phrase, count(*) AS a FROM runs GROUP BY 1, 2, 3
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2, count(*) FROM runs WHERE w2 IS NOT NULL GROUP BY 1, 2, 3
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM runs WHERE w3 IS NOT NULL GROUP BY 1, 2, 3),
+candidates AS (SELECT *, string_split(phrase, ' ') AS ws FROM seen WHERE k > 1 AND a >= 10),
+parts AS (
+  SELECT lang, k, phrase, a, at_word, array_to_string(ws[1:at_word], ' ') AS head, array_to_string(ws[at_word + 1:], ' ') AS tail
+  FROM candidates, (VALUES (1), (2)) s(at_word) WHERE at_word < k),
+cuts AS (
+  SELECT p.lang, p.k, p.phrase, p.a, at_word, f.a AS l, g.a AS r,
+    CAST(1000000::HUGEINT * p.a * p.a // (f.a::HUGEINT * g.a) AS BIGINT) AS score
+  FROM parts p JOIN seen f ON f.lang = p.lang AND f.phrase = head JOIN seen g ON g.lang = p.lang AND g.phrase = tail),
+scored AS (
+  SELECT lang, k, phrase, a, l, r, score FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, at_word) = 1),
+inside AS (
+  SELECT lang, array_to_string(ws[j:j + 1], ' ') AS phrase, max(a) AS most
+  FROM candidates, (VALUES (1), (2)) o(j) WHERE k = 3 GROUP BY 1, 2)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, s.a DESC, encode(s.phrase)) AS rank,
+  s.phrase, s.a, l, r, t.n, score
+FROM scored s JOIN totals t USING (lang) LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase
+WHERE s.k = 3 OR i.most IS NULL OR 100 * i.most < 50 * s.a
+QUALIFY rank <= 2000"""
+
 ORACLES: dict[str, str] = {
     "op1_licence_scan": _licence_scan(),
     "op2_mixing": _MIXING,
@@ -168,4 +203,5 @@ ORACLES: dict[str, str] = {
     "op8_near_duplicates": _NEAR_DUPLICATES,
     "op11_warc_archives": _WARC_ARCHIVES,
     "op12_prefix_trie": _PREFIX_TRIE,
+    "op13_collocations": _COLLOCATIONS,
 }

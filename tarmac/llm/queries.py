@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tarmac.config import durable, prepare
 from tarmac.llm import (
+    collocations,
     html_text,
     imatch,
     licences,
@@ -123,6 +124,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_licence_scan": op1_licence_scan,
     "op2_mixing": op2_mixing,
@@ -136,4 +141,5 @@ QUERIES: dict[str, Query] = {
     "op10_sentence_pieces": op10_sentence_pieces,
     "op11_warc_archives": op11_warc_archives,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_collocations": op13_collocations,
 }
