@@ -38,11 +38,11 @@ from tarmac.llm.quotient_filter import Shape, counted, merged, sharded
 
 UNKNOWN = "und"
 # Bytes of text that share one dictionary, and bytes that a task keeps for all languages.
-BLOCK_BYTES = 8 << 20
-KEPT_BYTES = 32 << 20
+BLOCK_BYTES = 4 << 20
+KEPT_BYTES = 16 << 20
 # N-grams a task keeps before it writes filters, and occurrences a shard is made for.
-KEPT_GRAMS = 4 << 20
-SHARD_WORDS = 1 << 20
+KEPT_GRAMS = 1 << 20
+SHARD_WORDS = 1 << 19
 SALTS = 64
 # The scale of scores.
 MILLION = 1_000_000
