@@ -62,11 +62,16 @@ FACT_COLUMNS = [
 ]
 
 
+def in_fact() -> Column:
+    """Rows without any extraction stamp lie before every high-water mark and are never loaded."""
+    return F.col("_sdc_extracted_at") > F.lit("1970-01-01").cast("timestamp")
+
+
 def flights_performance(flights: DataFrame) -> DataFrame:
     """Movements with time of day and the gap between schedule and movement."""
     gap = clocks.minutes_between(F.col("scheduled_timestamp"), F.col("movement_actual_timestamp"))
     return (
-        flights.filter(F.col("_sdc_extracted_at") > F.lit("1970-01-01").cast("timestamp"))
+        flights.filter(in_fact())
         .withColumn("time_of_day", rules.time_of_day(F.col("scheduled_hour")))
         .withColumn("flight_duration_minutes", gap)
         .select(FACT_COLUMNS)
@@ -135,28 +140,36 @@ def _with_ids(totals: DataFrame, ids: DataFrame, keys: list[str]) -> DataFrame:
     return totals.join(ids, same, "left").fillna(0, counts).drop(*[f"_{key}" for key in keys])
 
 
+AIRLINE = ["airline_code", "airline_name"]
+
+
+def airline_parts(fact: DataFrame, *more: str) -> DataFrame:
+    """What airline totals add up from, per airline, airport and route, and per ``more``."""
+    known = fact.filter(F.col("airline_code").isNotNull())
+    return known.groupBy(*more, *AIRLINE, "airport_code", "origin_destination_code").agg(*_additive())
+
+
 def airline_totals(fact: DataFrame) -> DataFrame:
     """Totals per airline code and name, before percentages and ranks."""
     known = fact.filter(F.col("airline_code").isNotNull())
-    keys = ["airline_code", "airline_name"]
-    totals = (
-        known.groupBy(*keys, "airport_code", "origin_destination_code")
-        .agg(*_additive())
-        .groupBy(*keys)
-        .agg(
-            F.sum("records").alias("total_flight_records"),
-            F.count_distinct("airport_code").alias("unique_airports"),
-            F.count_distinct("origin_destination_code").alias("unique_routes"),
-            *_averages(),
-            F.sum("cancelled").alias("total_cancelled_flights"),
-            F.sum("late").alias("total_delayed_flights"),
-            F.sum("on_time").alias("total_on_time_flights"),
-            F.sum("severe").alias("total_severely_delayed_flights"),
-            F.sum("moderate").alias("total_moderately_delayed_flights"),
-            *_ends(),
-        )
+    return airline_totals_of(airline_parts(fact), _distinct_ids(known, AIRLINE))
+
+
+def airline_totals_of(parts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The same from parts, of all days together or day by day, and the numbers of distinct ids."""
+    totals = parts.groupBy(*AIRLINE).agg(
+        F.sum("records").alias("total_flight_records"),
+        F.count_distinct("airport_code").alias("unique_airports"),
+        F.count_distinct("origin_destination_code").alias("unique_routes"),
+        *_averages(),
+        F.sum("cancelled").alias("total_cancelled_flights"),
+        F.sum("late").alias("total_delayed_flights"),
+        F.sum("on_time").alias("total_on_time_flights"),
+        F.sum("severe").alias("total_severely_delayed_flights"),
+        F.sum("moderate").alias("total_moderately_delayed_flights"),
+        *_ends(),
     )
-    return _with_ids(totals, _distinct_ids(known, keys), keys)
+    return _with_ids(totals, ids, AIRLINE)
 
 
 def _departure_shares(names: dict[str, str]) -> dict[str, Column]:
@@ -234,6 +247,13 @@ def _peak_hours(reduced: DataFrame) -> DataFrame:
     )
 
 
+def airport_parts(fact: DataFrame, *more: str) -> DataFrame:
+    """What airport totals add up from, the hour histogram included, per ``more``."""
+    known = fact.filter(F.col("airport_code").isNotNull())
+    keys = ["airport_code", "airline_code", "origin_destination_code", "movement_type", "scheduled_hour"]
+    return known.groupBy(*more, *keys).agg(*_additive())
+
+
 def airport_totals(fact: DataFrame) -> DataFrame:
     """Totals per airport, before percentages and ranks.
 
@@ -241,9 +261,11 @@ def airport_totals(fact: DataFrame) -> DataFrame:
     and the hour histogram; flight ids go through a second, narrow one.
     """
     known = fact.filter(F.col("airport_code").isNotNull())
-    reduced = known.groupBy(
-        "airport_code", "airline_code", "origin_destination_code", "movement_type", "scheduled_hour"
-    ).agg(*_additive())
+    return airport_totals_of(airport_parts(fact), _distinct_ids(known, ["airport_code"]))
+
+
+def airport_totals_of(reduced: DataFrame, ids: DataFrame) -> DataFrame:
+    """The same from parts, of all days together or day by day, and the numbers of distinct ids."""
     totals = reduced.groupBy("airport_code").agg(
         *_averages(),
         F.sum("cancelled").alias("total_cancelled_flights"),
@@ -255,7 +277,7 @@ def airport_totals(fact: DataFrame) -> DataFrame:
     )
     peaks = _peak_hours(reduced)
     totals = totals.join(peaks, totals["airport_code"] == peaks["_peak_airport"], "left").drop("_peak_airport")
-    return _with_ids(totals, _distinct_ids(known, ["airport_code"]), ["airport_code"])
+    return _with_ids(totals, ids, ["airport_code"])
 
 
 def rank_airports(totals: DataFrame) -> DataFrame:

@@ -163,17 +163,12 @@ def stg_airports(airports: DataFrame) -> DataFrame:
     )
 
 
-def stg_airlines(flights: DataFrame) -> DataFrame:
-    """Totals per airline code.
-
-    Two narrow aggregates instead of one with two distinct counts: the first
-    collapses to a few rows per airline and airport before its shuffle, the
-    second shuffles flight ids once.
-    """
+def airline_parts(flights: DataFrame, *more: str) -> DataFrame:
+    """What airlines add up from, per airline and airport, and per ``more``."""
     known = flights.filter(F.col("airline_code").isNotNull())
     delay = rules.measured(F.col("delay_minutes"))
     cancelled, late, movement = F.col("is_cancelled"), F.col("is_delayed"), F.col("movement_type")
-    per_airport = known.groupBy("airline_code", "airline_name", "airport_code").agg(
+    return known.groupBy(*more, "airline_code", "airline_name", "airport_code").agg(
         F.max("_sdc_extracted_at").alias("extracted"),
         F.count("*").alias("flights"),
         F.count_if(movement == "A").alias("arrivals"),
@@ -186,7 +181,28 @@ def stg_airlines(flights: DataFrame) -> DataFrame:
         F.min("flight_date").alias("first"),
         F.max("flight_date").alias("last"),
     )
-    totals = per_airport.groupBy("airline_code").agg(
+
+
+def stg_airlines(flights: DataFrame) -> DataFrame:
+    """Totals per airline code.
+
+    Two narrow aggregates instead of one with two distinct counts: the first
+    collapses to a few rows per airline and airport before its shuffle, the
+    second shuffles flight ids once.
+    """
+    ids = (
+        flights.filter(F.col("airline_code").isNotNull() & F.col("flight_id").isNotNull())
+        .select("airline_code", "flight_id")
+        .distinct()
+        .groupBy("airline_code")
+        .agg(F.count("*").alias("unique_flights"))
+    )
+    return stg_airlines_of(airline_parts(flights), ids)
+
+
+def stg_airlines_of(parts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The same from parts, of all days together or day by day, and the numbers of distinct ids."""
+    totals = parts.groupBy("airline_code").agg(
         F.max("extracted").alias("_sdc_extracted_at"),
         F.max("airline_name").alias("airline_name"),
         F.sum("flights").alias("total_flights"),
@@ -200,13 +216,6 @@ def stg_airlines(flights: DataFrame) -> DataFrame:
         F.min("first").alias("first_seen_date"),
         F.max("last").alias("last_seen_date"),
     )
-    ids = (
-        known.filter(F.col("flight_id").isNotNull())
-        .select("airline_code", "flight_id")
-        .distinct()
-        .groupBy("airline_code")
-        .agg(F.count("*").alias("unique_flights"))
-    )
     departures = F.col("total_departures")
     return totals.join(ids, "airline_code", "left").select(
         "airline_code",
@@ -229,16 +238,14 @@ def stg_airlines(flights: DataFrame) -> DataFrame:
     )
 
 
-def stg_aircraft(flights: DataFrame) -> DataFrame:
-    """Per registration and aircraft type: totals of the registration and its latest airline.
+AIRCRAFT = ["aircraft_registration", "aircraft_type", "airline_code", "airline_name"]
 
-    The fact is first reduced to one row per registration, type and airline;
-    the windows run over that.
-    """
-    keys = ["aircraft_registration", "aircraft_type", "airline_code", "airline_name"]
-    reduced = (
+
+def aircraft_parts(flights: DataFrame, *more: str) -> DataFrame:
+    """What aircraft add up from, per registration, type and airline, and per ``more``."""
+    return (
         flights.filter(F.col("aircraft_registration").isNotNull())
-        .groupBy(*keys)
+        .groupBy(*more, *AIRCRAFT)
         .agg(
             F.min("flight_date").alias("first"),
             F.max("flight_date").alias("last"),
@@ -247,6 +254,19 @@ def stg_aircraft(flights: DataFrame) -> DataFrame:
             F.max("fetched_at").alias("fetched"),
         )
     )
+
+
+def stg_aircraft(flights: DataFrame) -> DataFrame:
+    """Per registration and aircraft type: totals of the registration and its latest airline.
+
+    The fact is first reduced to one row per registration, type and airline;
+    the windows run over that.
+    """
+    return stg_aircraft_of(aircraft_parts(flights))
+
+
+def stg_aircraft_of(reduced: DataFrame) -> DataFrame:
+    """The same from parts of which there is one per registration, type and airline."""
     one = Window.partitionBy("aircraft_registration")
     latest = F.max_by(
         F.struct("airline_code", "airline_name"),

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.operators.tables import discard
+from tarmac.operators.versions import discard
 
 # Tables exported by default and their file names.
 DEFAULT_EXPORTS = {

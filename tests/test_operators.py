@@ -1,4 +1,4 @@
-"""Ranks, quality checks, stored tables and upserts."""
+"""Ranks, newest versions and quality checks."""
 
 import random
 from datetime import date
@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from tarmac.operators.latest import keep_latest
 from tarmac.operators.quality import Checks, failing_rows, report
 from tarmac.operators.ranks import add_ranks, descending
-from tarmac.operators.tables import Days, Snapshots, upsert
 from tarmac.plans.checks import DECLARED
 
 
@@ -110,54 +109,3 @@ def test_number_of_declared_checks():
     assert sum(map(len, DECLARED.values())) == 117
     assert sum(len(c.not_null) for c in DECLARED.values()) == 105
     assert sum(len(c.unique) for c in DECLARED.values()) == 11
-
-
-def test_upsert_matches_null_keys_and_drops_vanished_ones(spark):
-    schema = "a string, b string, n int"
-    target = spark.createDataFrame([("x", None, 1), ("y", "1", 2), ("z", "1", 3)], schema)
-    fresh = spark.createDataFrame([("x", None, 10)], schema)
-    replaced = spark.createDataFrame([("x", None), ("z", "1")], "a string, b string")
-    rows = upsert(target, fresh, replaced, ["a", "b"]).collect()
-    assert sorted((row.a, row.b, row.n) for row in rows) == [("x", None, 10), ("y", "1", 2)]
-    assert upsert(None, fresh, replaced, ["a", "b"]).count() == 1
-
-
-def test_snapshots_keep_the_last_complete_version(spark, tmp_path):
-    table = Snapshots(spark, f"{tmp_path}/t")
-    assert table.read() is None
-    for batch in range(5):
-        table.write(spark.createDataFrame([(batch,)], "n int"), batch)
-    assert table.read().first().n == 4
-    assert table.read(before=4).first().n == 3
-    assert table.versions() == [0, 1, 2, 3, 4]
-    table.drop_old(3)
-    assert table.versions() == [2, 3, 4]
-    # A version whose write broke off does not count.
-    (tmp_path / "t" / "v000000009").mkdir()
-    assert table.read().first().n == 4
-
-
-def test_days_are_replaced_whole(spark, tmp_path):
-    schema = spark.createDataFrame([], "flight_date date, n long").schema
-
-    def rows(*pairs):
-        return spark.createDataFrame([(date(2024, 1, d), n) for d, n in pairs], schema)
-
-    table = Days(spark, f"{tmp_path}/t", schema)
-    assert table.read().count() == 0
-    days = [date(2024, 1, 1), date(2024, 1, 2)]
-    table.replace(rows((1, 1), (1, 2), (1, 3), (2, 9), (3, 8)), [*days, date(2024, 1, 3)], f"{tmp_path}/s1")
-    table.replace(rows((1, 6)), days, f"{tmp_path}/s2")
-    assert sorted((row.flight_date.day, row.n) for row in table.read().collect()) == [(1, 6), (3, 8)]
-    assert table.read([date(2024, 1, 2)]).count() == 0
-
-
-def test_broken_replacement_is_repeated_from_staging(spark, tmp_path):
-    schema = spark.createDataFrame([], "flight_date date, n long").schema
-    day = date(2024, 1, 1)
-    table = Days(spark, f"{tmp_path}/t", schema)
-    staged = spark.createDataFrame([(day, 1)], schema)
-    staged.write.parquet(f"{tmp_path}/s")
-    # The rows offered now are not used: the first run had committed its rows already.
-    table.replace(spark.createDataFrame([(day, 2)], schema), [day], f"{tmp_path}/s")
-    assert [row.n for row in table.read().collect()] == [1]

@@ -1,12 +1,18 @@
 """Batches give the same models as one full build."""
 
 import json
+from dataclasses import replace
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from tarmac.plans import marts, staging
+from tarmac.config import Settings
+from tarmac.operators.versions import Conflict, FileTable
+from tarmac.plans import marts, public, staging
+from tarmac.sources.airports import feed_airports
 from tarmac.sources.feed import movement_feed
+from tarmac.sources.spine import time_spine
 from tarmac.streaming.arrivals import run_arrivals
 from tarmac.streaming.pipeline import Pipeline
 from tests.conftest import SF, movement
@@ -92,21 +98,125 @@ def test_changes_move_between_groups(raw, tmp_path, spark):
         pipeline.apply(raw(*second), 4)
 
 
-def test_broken_batch_is_finished_by_the_next_run(raw, tmp_path, spark, monkeypatch):
-    first, second = [(movement(), 1, 11)], [(movement(atda="10:30"), 2, 11), (movement(id="2"), 2, 11)]
+def test_batches_break_off_and_readers_see_whole_batches(raw, tmp_path, spark, monkeypatch):
+    first = [(movement(), 1, 11), (movement(id="3", idaerolinea="FO"), 1, 11)]
+    second = [(movement(atda="10:30"), 2, 11), (movement(id="2", idaerolinea="FO"), 2, 11), (movement(id=None), 2, 11)]
     pipeline = Pipeline(spark, str(tmp_path), maintained=["airline_totals", "delay_parts"])
     pipeline.apply(raw(*first), 0)
-
-    def lost(*_):
-        raise RuntimeError("driver lost")
-
-    with monkeypatch.context() as patch:
-        patch.setattr(Pipeline, "_exchange", lost)
-        with pytest.raises(RuntimeError):
-            pipeline.apply(raw(*second), 1)
-    pipeline.apply(raw(*second), 1)
+    held = pipeline.version()
+    whole, written = FileTable.write, []
+
+    def total(version=None):
+        daily = pipeline.model("delay_analysis", version).filter("analysis_type = 'daily'")
+        return daily.agg(F.sum("total_flights")).first()[0]
+
+    for last in range(100):
+        calls = []
+
+        def write(table, df, load, calls=calls, last=last):
+            # Whatever is written so far, readers see the batch before.
+            assert pipeline.version() == held
+            if len(calls) == last:
+                raise RuntimeError("driver lost")
+            calls.append(table.name)
+            return whole(table, df, load)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(FileTable, "write", write)
+            try:
+                pipeline.apply(raw(*second), 1)
+                break
+            except RuntimeError as error:
+                assert str(error) == "driver lost"
+        written = calls
+        if last in (2, 5):
+            assert total() == 2 and pipeline.model("airline_metrics").count() == 2
+    assert len(written) == last - 1 and {"stg_flights", "keyless", "flight_ids", "delay_parts"} <= set(calls)
     full = full_build(raw(*first, *second))
     assert_same(pipeline, {name: full[name] for name in ("stg_flights", "airline_metrics", "delay_analysis")})
+    # A reader of the version before still reads all of it.
+    assert total(held) == 2 and total() == 4
+    assert pipeline.movements(version=held).count() == 2
+
+
+def test_two_writers_from_one_version(raw, tmp_path, spark):
+    pipeline = Pipeline(spark, str(tmp_path), maintained=[])
+    other = Pipeline(spark, str(tmp_path), maintained=[])
+    base = pipeline.version()
+    pipeline.apply(raw((movement(), 1, 11)), 0)
+    with pytest.raises(Conflict, match="version 1 was committed"):
+        other.log.commit(replace(base, number=1, batch=0))
+    assert other.version().batch == 0 and other.model("stg_flights").count() == 1
+
+
+def test_a_batch_rewrites_the_files_of_its_keys_only(raw, tmp_path, spark, monkeypatch):
+    pipeline = Pipeline(spark, str(tmp_path), maintained=["airline_totals"])
+    conf = {"spark.sql.shuffle.partitions": "100", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {name: spark.conf.get(name) for name in conf}
+    many = [(movement(id=f"F{i:05d}"), 1, 11) for i in range(1000)]
+    many += [(movement(id=f"F{i:05d}", x_date="2024-01-08"), 1, 11) for i in range(20)]
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        pipeline.apply(raw(*many), 0)
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+    before = set(pipeline.flights.paths(pipeline.version()))
+    day = {p for p in before if "flight_date=2024-01-10" in p}
+    assert len(day) > 80
+    read = []
+    rows = FileTable.rows
+
+    def reading(table, paths, file=None):
+        read.extend(p for p in paths if table.name == "stg_flights")
+        return rows(table, paths, file)
+
+    ten = [(movement(id=f"F{i:05d}", idaerolinea="FO"), 2, 11) for i in range(100, 110)]
+    monkeypatch.setattr(FileTable, "rows", reading)
+    pipeline.apply(raw(*ten), 1)
+    monkeypatch.undo()
+    after = set(pipeline.flights.paths(pipeline.version()))
+    # Ten neighbouring keys lie in few files; the others stay as they are.
+    assert 1 <= len(before - after) <= 4
+    assert all("flight_date=2024-01-10" in p for p in read)
+    counts = {r.airline_code: (r.unique_flights, r.total_flight_records) for r in pipeline.model("airline_metrics").collect()}
+    assert counts == {"AR": (990, 1010), "FO": (10, 10)}
+    assert pipeline.model("stg_flights").count() == 1020
+
+    pipeline.compact([date(2024, 1, 10)])
+    assert len([p for p in pipeline.flights.paths(pipeline.version()) if "2024-01-10" in p]) < 10
+    assert pipeline.model("stg_flights").count() == 1020
+    assert pipeline.drop_old(1) > 80
+    assert pipeline.model("stg_flights").count() == 1020
+    # Batches applied before stay known.
+    assert pipeline.apply(raw(*ten), 0).batch == 1
+
+
+def test_every_model_by_its_name(raw, tmp_path, spark):
+    airports = feed_airports(spark)
+    deliveries = raw(*[(movement(id=str(i), gate=f"G{i % 3}", atda="10:40"), 1, 11) for i in range(9)])
+    settings = Settings(as_of=date(2024, 1, 12))
+    pipeline = Pipeline(spark, str(tmp_path), settings, airports=airports)
+    pipeline.apply(deliveries, 0)
+    fact = marts.flights_performance(staging.stg_flights(deliveries, settings))
+    known = staging.stg_airports(airports)
+    daily = marts.routes_metrics_daily(fact)
+    want = {
+        "stg_airports": known,
+        "metricflow_time_spine": time_spine(spark),
+        "routes_metrics": marts.routes_metrics(daily, known, settings),
+        "public_headline": public.public_headline(fact, settings),
+        "public_airline_breakdown": public.public_airline_breakdown(fact, settings),
+        "public_bucket_distribution": public.public_bucket_distribution(fact, settings),
+        "public_daily_status": public.public_daily_status(fact, known, settings),
+        "public_tops": public.public_tops(fact, known, settings),
+        "public_gates_analysis": public.public_gates_analysis(fact),
+    }
+    assert_same(pipeline, want)
+    assert all(pipeline.model(name).count() for name in want)
+    with pytest.raises(KeyError, match="no model elsewhere; there are stg_flights"):
+        pipeline.model("elsewhere")
 
 
 def test_arrivals(spark, tmp_path):
