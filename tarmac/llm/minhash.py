@@ -26,7 +26,7 @@ gives no rows; further columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
@@ -157,7 +157,30 @@ def _fine(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield _lists([fine_bits(s) for _, words in blocks(batch, fold=True) for s in shingle_sets(words)])
 
 
-@lru_cache(64)
+# Characters of the texts whose sets are kept for the next pairs of a batch.
+KEPT_CHARS = 1 << 20
+
+
+class _Sets:
+    """Shingles of the last texts seen: neighbouring pairs share a text."""
+
+    def __init__(self):
+        self.kept: OrderedDict[str, frozenset] = OrderedDict()
+        self.chars = 0
+
+    def of(self, text: str) -> frozenset:
+        if text in self.kept:
+            self.kept.move_to_end(text)
+            return self.kept[text]
+        found = _set_of(text)
+        self.kept[text] = found
+        self.chars += len(text)
+        # The last two stay, however long: they are the pair at hand.
+        while self.chars > KEPT_CHARS and len(self.kept) > 2:
+            self.chars -= len(self.kept.popitem(last=False)[0])
+        return found
+
+
 def _set_of(text: str) -> frozenset:
     words = text.encode().translate(_LOWER).split()
     if len(words) < SHINGLE:
@@ -168,9 +191,10 @@ def _set_of(text: str) -> frozenset:
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def linked(a: str, b: str, percent: int = PERCENT) -> bool:
+def linked(a: str, b: str, percent: int = PERCENT, sets: _Sets | None = None) -> bool:
     """Whether two texts share enough of their shingles, by the words themselves."""
-    x, y = _set_of(a), _set_of(b)
+    sets = sets or _Sets()
+    x, y = sets.of(a), sets.of(b)
     if not x or not y:
         return False
     common = len(x & y)
@@ -178,7 +202,8 @@ def linked(a: str, b: str, percent: int = PERCENT) -> bool:
 
 
 def _confirmed(a: pa.Array, b: pa.Array) -> pa.Array:
-    return pa.array([linked(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.bool_())
+    sets = _Sets()
+    return pa.array([linked(x.as_py(), y.as_py(), sets=sets) for x, y in zip(a, b)], pa.bool_())
 
 
 def likeness(a: Column, b: Column) -> Column:

@@ -22,18 +22,21 @@ BLOCK = 1 << 19
 
 
 class _Powers:
-    """Powers of the base and of its inverse, as far as needed."""
+    """Powers of the base and of its inverse, as far as needed; those for longer texts are not kept."""
 
     up = np.ones(1, _U)
     down = np.ones(1, _U)
 
     @classmethod
     def until(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        while len(cls.up) < n:
-            size = len(cls.up)
-            cls.up = np.concatenate([cls.up, cls.up * _U(pow(_BASE, size, 1 << 64))])
-            cls.down = np.concatenate([cls.down, cls.down * _U(pow(_INVERSE, size, 1 << 64))])
-        return cls.up, cls.down
+        up, down = cls.up, cls.down
+        while len(up) < n:
+            size = len(up)
+            up = np.concatenate([up, up * _U(pow(_BASE, size, 1 << 64))])
+            down = np.concatenate([down, down * _U(pow(_INVERSE, size, 1 << 64))])
+        if len(up) <= 2 * BLOCK:
+            cls.up, cls.down = up, down
+        return up, down
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
