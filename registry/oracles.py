@@ -688,3 +688,37 @@ ORACLES["ranked_customers"] = """SELECT c_custkey,
   RANK() OVER (ORDER BY c_acctbal DESC NULLS LAST) AS balance_rank,
   RANK() OVER (ORDER BY c_acctbal ASC NULLS FIRST) AS debt_rank,
   RANK() OVER (ORDER BY c_nationkey ASC NULLS FIRST) AS nation_rank FROM customer"""
+
+
+def _both(flights: str, routes: str, names: list[str], keys: list[str], grain: str) -> str:
+    """Movements and routes, each by itself, then full-joined on dimensions that may be NULL."""
+    group = ", ".join(
+        f"CAST(date_trunc('{grain}', flight_date) AS DATE) AS flight_date" if key == "flight_date" else key for key in keys
+    )
+    same = " AND ".join(f"f.{key} IS NOT DISTINCT FROM r.{key}" for key in keys)
+    columns = ", ".join([*[f"coalesce(f.{key}, r.{key}) AS {key}" for key in keys], *names])
+    return f"""SELECT {columns}
+  FROM (SELECT {group}, {flights} FROM ({ORACLES["flights_performance"]}) GROUP BY ALL) f
+  FULL JOIN (SELECT {group}, {routes} FROM ({ORACLES["routes_metrics_daily"]}) GROUP BY ALL) r ON {same}"""
+
+
+ORACLES["metrics_by_airline_and_week"] = _both(
+    f"COUNT(*) AS total_flights, {n('is_cancelled')} AS total_cancelled",
+    "CAST(SUM(total_flights) AS BIGINT) AS route_total_flights",
+    ["total_flights", "total_cancelled", "route_total_flights"],
+    ["airline_code", "flight_date"],
+    "week",
+)
+DAILY = _both(
+    f"COUNT(*) AS total_flights, {n('is_delayed')} AS total_delayed",
+    "CAST(SUM(total_flights) AS BIGINT) AS route_total_flights",
+    ["total_flights", "total_delayed", "route_total_flights"],
+    ["flight_date"],
+    "day",
+)
+ORACLES["metrics_by_day_filled"] = f"""WITH daily AS ({DAILY}),
+  days AS (SELECT CAST(unnest(generate_series(min(flight_date), max(flight_date), INTERVAL 1 DAY)) AS DATE) AS flight_date FROM daily)
+  SELECT days.flight_date, total_flights, total_delayed, route_total_flights
+  FROM days LEFT JOIN daily ON daily.flight_date = days.flight_date"""
+ORACLES["landed_deliveries"] = """SELECT CAST(ts AS DATE) AS day, COUNT(*) AS deliveries
+  FROM events WHERE ts >= TIMESTAMP '2024-01-21' GROUP BY 1"""

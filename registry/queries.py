@@ -16,10 +16,11 @@ from tarmac.operators.ranks import add_ranks, descending
 from tarmac.plans import dashboard, marts, metrics, public, staging
 from tarmac.plans.checks import DECLARED
 from tarmac.schemas import EXTRACT_STAMPS
-from tarmac.sinks.export import LINE_TABLES, export_all, json_rows, manifest, targets
+from tarmac.sinks.export import export_all, json_rows, manifest, targets
 from tarmac.sinks.models import with_load_stamp
 from tarmac.sources.airports import feed_airports
 from tarmac.sources.feed import airport_feed, movement_feed
+from tarmac.sources.landed import Landed
 from tarmac.sources.spine import spine_of
 from tarmac.streaming.pipeline import Pipeline
 
@@ -60,6 +61,13 @@ class Feed:
     def fact(self) -> DataFrame:
         return marts.flights_performance(self.flights())
 
+    def recent(self) -> DataFrame:
+        """The fact of the days the summaries of departures look at."""
+        flights = staging.stg_flights(
+            movement_feed(self.spark, self.sf_dir), SETTINGS, public.first_day(SETTINGS)
+        )
+        return marts.flights_performance(flights)
+
     def stored_flights(self) -> DataFrame:
         """The movements as a written table, for queries that read them more than once."""
         return durable(self.flights().select(GROUPED_COLUMNS), "flights")
@@ -140,6 +148,29 @@ def route_metric(name: str, by: list[str], grain: str) -> Query:
     )
 
 
+def metrics_of_both(names: list[str], by: list[str], grain: str, fill: bool = False) -> Query:
+    """Metrics of movements and of routes side by side."""
+
+    def build(feed: Feed) -> DataFrame:
+        fact = durable(feed.fact(), "fact")
+        tables = {"flights_performance": fact, "routes_metrics_daily": marts.routes_metrics_daily(fact)}
+        return metrics.metrics_of(tables, names, by, grain, fill)
+
+    return over_feed(build)
+
+
+def landed_deliveries(feed: Feed) -> DataFrame:
+    """What a run after the second one reads from the landed table: deliveries per day, and their bytes."""
+    landed = Landed(feed.spark, scratch_path(feed.spark, "landed"))
+    raw = movement_feed(feed.spark, feed.sf_dir)
+    at = F.col("_sdc_extracted_at")
+    # The first half of the month comes last.
+    landed.land(raw.filter(at >= F.lit(RUNS[0])))
+    landed.land(raw.filter(at < F.lit(RUNS[0])))
+    new = landed.since(RUNS[1])
+    return new.groupBy(F.to_date(at).alias("day")).agg(F.count("*").alias("deliveries"))
+
+
 def export_rows(feed: Feed) -> DataFrame:
     """The rows of two exported documents, as JSON texts."""
     fact = feed.stored_fact(SUMMARY_COLUMNS)
@@ -253,21 +284,20 @@ def export_documents(feed: Feed) -> DataFrame:
     done = export_all(models, root, paths)
     listed = manifest(spark, done).select("name", "record_count")
 
-    def documents(path: str) -> DataFrame:
-        return spark.read.text(path, wholetext=True)
-
     parts = []
     for table, path in paths.items():
-        name = F.lit(table).alias("table_name")
-        total = F.get_json_object("value", "$.metadata.total_records").cast("long").alias("total_records")
-        if table in LINE_TABLES:
-            rows = spark.read.json(f"{root}/{path}").agg(F.count("*").alias("records"))
-            part = documents(f"{root}/{path}.metadata").select(name, total).join(rows)
-        else:
-            held = F.json_array_length(F.get_json_object("value", "$.data")).cast("long")
-            part = documents(f"{root}/{path}").select(name, total, held.alias("records"))
-        file = F.lit(path.rpartition("/")[2].removesuffix(".json")).alias("name")
-        parts.append(part.select("table_name", "total_records", "records", file))
+        # A document of any size, read by line: each record is one, the first has the metadata before it.
+        head = F.regexp_extract("value", r'^\{"metadata": (\{[^}]*\}), "data": \[', 1)
+        lines = spark.read.text(f"{root}/{path}").select(head.alias("head"))
+        file = F.lit(path.rpartition("/")[2].removesuffix(".json"))
+        parts.append(
+            lines.agg(
+                F.lit(table).alias("table_name"),
+                F.max(F.get_json_object("head", "$.total_records")).cast("long").alias("total_records"),
+                F.count("*").alias("records"),
+                file.alias("name"),
+            )
+        )
     return reduce(DataFrame.unionByName, parts).join(listed, "name").drop("name")
 
 
@@ -291,18 +321,18 @@ QUERIES: dict[str, Query] = {
             marts.routes_metrics(feed.routes_daily(), feed.airports(), SETTINGS), "avg_delay_minutes"
         )
     ),
-    "public_headline": over_feed(lambda feed: public.public_headline(feed.fact(), SETTINGS)),
+    "public_headline": over_feed(lambda feed: public.public_headline(feed.recent(), SETTINGS)),
     "public_airline_breakdown": over_feed(
-        lambda feed: public.public_airline_breakdown(feed.fact(), SETTINGS)
+        lambda feed: public.public_airline_breakdown(feed.recent(), SETTINGS)
     ),
     "public_tops": over_feed(
-        lambda feed: public.public_tops(feed.stored_fact(SUMMARY_COLUMNS), feed.airports(), SETTINGS)
+        lambda feed: public.public_tops(durable(feed.recent().select(SUMMARY_COLUMNS), "recent"), feed.airports(), SETTINGS)
     ),
     "public_daily_status": over_feed(
-        lambda feed: public.public_daily_status(feed.fact(), feed.airports(), SETTINGS)
+        lambda feed: public.public_daily_status(feed.recent(), feed.airports(), SETTINGS)
     ),
     "public_bucket_distribution": over_feed(
-        lambda feed: public.public_bucket_distribution(feed.fact(), SETTINGS)
+        lambda feed: public.public_bucket_distribution(feed.recent(), SETTINGS)
     ),
     "public_gates_analysis": over_feed(gates_as_text),
     "time_spine": over_feed(flights_per_day),
@@ -317,6 +347,13 @@ QUERIES: dict[str, Query] = {
     **{f"metric_{name}": flight_metric(name) for name in FLIGHT_METRICS},
     **{f"metric_{name}": route_metric(name, *entry) for name, entry in ROUTE_METRICS.items()},
     **{f"measure_{name}": route_metric(name, ["airline_name"], "day") for name in ROUTE_MEASURES},
+    "metrics_by_airline_and_week": metrics_of_both(
+        ["total_flights", "total_cancelled", "route_total_flights"], ["airline_code", "flight_date"], "week"
+    ),
+    "metrics_by_day_filled": metrics_of_both(
+        ["total_flights", "route_total_flights", "total_delayed"], ["flight_date"], "day", fill=True
+    ),
+    "landed_deliveries": over_feed(landed_deliveries),
     "ranked_customers": ranked_customers,
     "latest_orders": latest_orders,
     "key_checks": key_checks,

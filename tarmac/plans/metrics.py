@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.sources.spine import spine_of
+
 from tarmac.functions import rules
 from tarmac.functions.measures import tally
 
@@ -126,7 +129,7 @@ def metric(
     chosen = {name: _find(name) for name in names}
     models = {id(entry.model): entry.model for entry in chosen.values()}
     if len(models) != 1:
-        raise ValueError(f"metrics of different models: {names}")
+        raise ValueError(f"metrics of different models, see metrics_of: {names}")
     (model,) = models.values()
     if grain not in GRAINS:
         raise ValueError(f"unknown grain {grain!r}")
@@ -144,6 +147,43 @@ def metric(
     return table.groupBy(*keys).agg(*[entry.column().alias(name) for name, entry in chosen.items()])
 
 
+def metrics_of(
+    tables: Mapping[str, DataFrame],
+    names: Sequence[str],
+    by: Sequence[str] = (),
+    grain: str = "day",
+    fill: bool = False,
+) -> DataFrame:
+    """Metrics of several models in one table, by dimensions that all of them have.
+
+    ``tables`` holds the rows of each model by its name. Each model is aggregated by itself, and rows of
+    the same dimensions are brought together, an unknown value being one like any other; where a model has no
+    such row its metrics are NULL. With ``fill``, and the day as the only dimension, there is a row
+    for every period between the first and the last.
+    """
+    chosen = {name: _find(name).model for name in names}
+    models = list({id(model): model for model in chosen.values()}.values())
+    for model in models:
+        if model.name not in tables:
+            raise ValueError(f"the rows of {model.name} are missing")
+    if fill and (not by or any(list(by) != [model.time] for model in models)):
+        raise ValueError("only a single time dimension can be filled")
+    parts = []
+    for model in models:
+        own = [name for name in names if chosen[name] is model]
+        parts.append(metric(tables[model.name], own, by, grain))
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    # Each model has one row per dimensions at most, so the largest is the only one.
+    result = together.groupBy(*by).agg(*[F.max(name).alias(name) for name in names])
+    if not fill:
+        return result
+    (time,) = by
+    day = F.col("date_day") if grain == "day" else F.trunc("date_day", grain)
+    periods = spine_of(together, time).select(day.alias("_period")).distinct()
+    filled = periods.join(result, F.col("_period") == F.col(time), "left")
+    return filled.select(F.col("_period").alias(time), *names)
+
+
 def _find(name: str) -> Metric:
     if name in METRICS:
         return METRICS[name]

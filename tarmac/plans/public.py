@@ -17,6 +17,11 @@ def _measured() -> Column:
     return F.when(_departed(), rules.measured(rules.delay()))
 
 
+def first_day(settings: Settings = Settings()) -> Column:
+    """The first day the summaries of departures look at; ``stg_flights`` takes it as ``since``."""
+    return F.date_sub(settings.today(), settings.lookback_days)
+
+
 def departures(fact: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Departures of the last days.
 
@@ -25,7 +30,7 @@ def departures(fact: DataFrame, settings: Settings = Settings()) -> DataFrame:
     top-k few rows are left to join.
     """
     return fact.filter(
-        (F.col("flight_date") >= F.date_sub(settings.today(), settings.lookback_days))
+        (F.col("flight_date") >= first_day(settings))
         & (F.col("movement_type") == "D")
     ).select(
         "flight_sk",

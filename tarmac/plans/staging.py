@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.config import Settings
@@ -88,12 +88,21 @@ def _parsed(raw: DataFrame, *carried: str) -> DataFrame:
     return fields.withColumn("flight_sk", F.concat(*joined))
 
 
-def latest_movements(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def latest_movements(raw: DataFrame, settings: Settings = Settings(), since: Column | None = None) -> DataFrame:
     """The newest delivery of each movement with all derived columns, plus the tie-break hash.
 
     Versions are dropped before the time arithmetic, so it runs once per movement.
+
+    With ``since``, movements of earlier days are left out, and before versions are told apart: a
+    movement's key contains its day, so all its versions go or stay together. Deliveries without a
+    key are one movement whatever their days; they are compared first and judged by the newest's day.
     """
-    newest = keep_latest(_parsed(raw), ["flight_sk"], newest_delivery_first())
+    deliveries, day = _parsed(raw), F.col("flight_date")
+    if since is not None:
+        deliveries = deliveries.filter(F.col("flight_sk").isNull() | (day >= since))
+    newest = keep_latest(deliveries, ["flight_sk"], newest_delivery_first())
+    if since is not None:
+        newest = newest.filter(day >= since)
     # One lambda for all clocks keeps the generated method small enough for the JIT.
     names = list(CLOCK_FIELDS.values())
     local = F.transform(
@@ -142,9 +151,9 @@ def latest_movements(raw: DataFrame, settings: Settings = Settings()) -> DataFra
     )
 
 
-def stg_flights(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One row per movement."""
-    return latest_movements(raw, settings).drop(DELIVERY_HASH)
+def stg_flights(raw: DataFrame, settings: Settings = Settings(), since: Column | None = None) -> DataFrame:
+    """One row per movement, of all days or those from ``since`` on."""
+    return latest_movements(raw, settings, since).drop(DELIVERY_HASH)
 
 
 def stg_airports(airports: DataFrame) -> DataFrame:

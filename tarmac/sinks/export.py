@@ -1,9 +1,9 @@
 """JSON exports: one document per table, and a manifest of what was exported.
 
-The executors write. Summaries, whose size their query bounds, become one JSON
-document in one file. Tables that grow with the data (``LINE_TABLES``) become JSON
-lines in as many files as tasks, each line a record, with the metadata as a document
-beside them. The form is a property of the table, not of its size on the day.
+The executors write, and every table takes the same form, ``{"metadata": ..., "data": [...]}``. A
+document is a folder of part files whose bytes, one after the other, are the document: the first
+record has the head before it, the others a comma, the last one the foot behind it. A small table
+is one part; a table of any size is written by as many tasks as its bytes ask for, in its order.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.operators.versions import discard
+from tarmac.operators.versions import discard, files_below
 
 # Tables exported by default and their file names.
 DEFAULT_EXPORTS = {
@@ -30,16 +30,40 @@ DEFAULT_EXPORTS = {
     "routes_metrics": "routes_metrics.json",
 }
 DEFAULT_PREFIX = "data"
-# Tables with a row per route and day, and so without a bound.
-LINE_TABLES = {"routes_metrics", "routes_metrics_daily", "stg_flights", "flights_performance"}
 
 
 @dataclass(frozen=True)
 class Exported:
+    """A written document; ``parts`` are its files below ``path`` in the order of their bytes."""
+
     table: str
     path: str
     records: int
     exported_at: datetime
+    parts: tuple[str, ...] = ()
+
+
+@dataclass(frozen=True)
+class Entry:
+    """One table to export: a file name goes below the folder, a path stands for itself."""
+
+    table: str
+    file: str
+
+    def below(self, folder: str) -> str:
+        return self.file if "/" in self.file else f"{folder}/{self.file}"
+
+
+def _entries(table_map: Mapping[str, str] | None, tables: str | None) -> list[Entry]:
+    """From a map, else from a comma-separated list, else the defaults."""
+    if table_map:
+        if any(not isinstance(file, str) for file in table_map.values()):
+            raise ValueError("export paths must be strings")
+        return [Entry(table, file) for table, file in table_map.items()]
+    if tables:
+        listed = filter(None, map(str.strip, tables.split(",")))
+        return [Entry(table, f"{table}.json") for table in listed]
+    return [Entry(table, file) for table, file in DEFAULT_EXPORTS.items()]
 
 
 def targets(
@@ -53,19 +77,10 @@ def targets(
     A path without a folder goes below the prefix; the prefix is the given
     one, else the folder of ``blob_path``, else "data".
     """
-    folder = (prefix or "").strip().strip("/")
-    if not folder and blob_path and "/" in blob_path:
-        folder = blob_path.rpartition("/")[0]
-    folder = folder or DEFAULT_PREFIX
-    if table_map:
-        if not all(isinstance(path, str) for path in table_map.values()):
-            raise ValueError("export paths must be strings")
-        chosen = dict(table_map)
-    elif tables:
-        chosen = {name.strip(): f"{name.strip()}.json" for name in tables.split(",") if name.strip()}
-    else:
-        chosen = dict(DEFAULT_EXPORTS)
-    return {table: path if "/" in path else f"{folder}/{path}" for table, path in chosen.items()}
+    given = (prefix or "").strip().strip("/")
+    beside = (blob_path or "").rpartition("/")[0]
+    folder = given or beside or DEFAULT_PREFIX
+    return {entry.table: entry.below(folder) for entry in _entries(table_map, tables)}
 
 
 def _value(name: str, type_: T.DataType) -> Column:
@@ -88,20 +103,12 @@ def json_rows(df: DataFrame) -> DataFrame:
 
 
 def export_table(
-    df: DataFrame,
-    table: str,
-    path: str,
-    source: str | None = None,
-    raw: bool = False,
-    lines: bool | None = None,
+    df: DataFrame, table: str, path: str, source: str | None = None, raw: bool = False
 ) -> Exported | None:
     """Write ``{"metadata": ..., "data": [...]}``, or the bare array if ``raw``.
 
-    With ``lines`` (by default for ``LINE_TABLES``) every row is a line of its own, and
-    the metadata is a document at ``path`` + ".metadata", left out if ``raw``. An empty table
-    writes nothing and returns None.
+    An empty table writes nothing and returns None.
     """
-    lines = table in LINE_TABLES if lines is None else lines
     spark = df.sparkSession
     at = datetime.now(timezone.utc)
     rows_path = f"{path}.rows"
@@ -109,41 +116,24 @@ def export_table(
     numbered = json_rows(df).withColumn("_position", F.monotonically_increasing_id())
     numbered.write.mode("overwrite").parquet(rows_path)
     rows = spark.read.schema(numbered.schema).parquet(rows_path)
-    records, first = rows.agg(F.count("*"), F.min("_position")).first()
+    records, first, last = rows.agg(F.count("*"), F.min("_position"), F.max("_position")).first()
     if records == 0:
         discard(spark, rows_path)
         return None
     metadata = {"exported_at": at.isoformat(), "source": source or table, "total_records": records}
-    if lines:
-        rows.orderBy("_position").select("value").write.mode("overwrite").text(path)
-        if not raw:
-            _document(spark, json.dumps({"metadata": metadata}), f"{path}.metadata")
-        discard(spark, rows_path)
-        return Exported(table, path, records, at)
     head = "[" if raw else f'{{"metadata": {json.dumps(metadata)}, "data": ['
     foot = "]" if raw else "]}"
-    comma = F.when(F.col("_position") == first, "").otherwise(",")
-    document = (
-        rows.select("_position", F.concat(comma, F.col("value")).alias("value"))
-        .unionByName(_line(spark, BEFORE_ALL, head))
-        .unionByName(_line(spark, AFTER_ALL, foot))
-    )
-    ordered = document.repartition(1).sortWithinPartitions("_position")
-    ordered.select("value").write.mode("overwrite").text(path)
+    before = F.when(F.col("_position") == first, head).otherwise(",")
+    behind = F.when(F.col("_position") == last, foot).otherwise("")
+    document = rows.select("_position", F.concat(before, "value", behind).alias("value"))
+    document.orderBy("_position").select("value").write.mode("overwrite").text(path)
     discard(spark, rows_path)
-    return Exported(table, path, records, at)
-
-
-# Positions of the first and last line; rows lie between.
-BEFORE_ALL, AFTER_ALL = -1, 2**63 - 1
-
-
-def _line(spark: SparkSession, position: int, text: str) -> DataFrame:
-    return spark.range(1).select(F.lit(position).cast("long").alias("_position"), F.lit(text).alias("value"))
+    parts = sorted(name for name in files_below(spark, path) if name.startswith("part-"))
+    return Exported(table, path, records, at, tuple(parts))
 
 
 def _document(spark: SparkSession, text: str, path: str) -> None:
-    _line(spark, 0, text).select("value").coalesce(1).write.mode("overwrite").text(path)
+    spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
 def export_all(

@@ -30,6 +30,7 @@ from tarmac.functions import rules
 from tarmac.operators.versions import FileTable, Log, Version, discard
 from tarmac.plans import marts, public, staging
 from tarmac.schemas import AIRPORT_SCHEMA, EXTRACT_STAMPS, RAW_SCHEMA
+from tarmac.sources.landed import Landed
 from tarmac.sources.spine import time_spine
 
 DAY = "flight_date"
@@ -205,14 +206,16 @@ class Pipeline:
         text = (version or self.version()).facts.get("high_water")
         return None if text is None else datetime.fromisoformat(text)
 
-    def new_deliveries(self, raw: DataFrame, lookback: timedelta = timedelta(0)) -> DataFrame:
+    def new_deliveries(self, raw: DataFrame | Landed, lookback: timedelta = timedelta(0)) -> DataFrame:
         """Raw rows extracted since the last batch; all rows if there was none.
 
         Rows with the last batch's own stamp are read again, as more of them may have
         arrived since, and with ``lookback`` rows that much older; rows delivered twice
-        change nothing.
+        change nothing. Of a ``Landed`` table only the files that hold such rows are opened.
         """
         mark = self.high_water()
+        if isinstance(raw, Landed):
+            return raw.deliveries() if mark is None else raw.since(mark - lookback)
         return raw if mark is None else raw.filter(F.col("_sdc_extracted_at") >= F.lit(mark - lookback))
 
     def unkeyed(self, batch: int, version: Version | None = None) -> DataFrame:

@@ -6,12 +6,14 @@ from datetime import date, datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from tarmac.operators.versions import Log
 from tarmac.plans import dashboard, marts, metrics
 from tarmac.plans.dashboard import Filters
 from tarmac.plans.staging import stg_flights
 from tarmac.schemas import LOAD_STAMP
 from tarmac.sinks import export, models
 from tarmac.sources import airports, raw as raw_source, spine
+from tarmac.sources.landed import Landed
 from tests.conftest import movement
 
 
@@ -155,15 +157,25 @@ def test_export_round_trip(spark, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == ["t.json"]
 
 
-def test_every_line_of_a_growing_table_parses(spark, tmp_path):
-    df = spark.range(1000).repartition(4).select(F.col("id").alias("n"), F.lit("a\nb").alias("text"))
-    done = export.export_table(df, "routes_metrics", f"{tmp_path}/r.json")
-    parts = [p for p in (tmp_path / "r.json").glob("part-*") if p.stat().st_size]
-    rows = [json.loads(line) for part in parts for line in part.read_text().splitlines()]
-    assert sorted(row["n"] for row in rows) == list(range(1000)) and done.records == 1000
-    assert document(tmp_path / "r.json.metadata")["metadata"]["total_records"] == 1000
-    export.export_table(df, "routes_metrics", f"{tmp_path}/raw.json", raw=True)
-    assert not (tmp_path / "raw.json.metadata").exists()
+def test_a_large_document_has_many_parts(spark, tmp_path):
+    df = spark.range(20_000).repartition(4).select(F.col("id").alias("n"), F.lit("a\nb]}").alias("text"))
+    # As for a table whose bytes fill several partitions.
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    try:
+        done = export.export_table(df, "routes_metrics", f"{tmp_path}/r.json")
+        bare = export.export_table(df, "routes_metrics", f"{tmp_path}/raw.json", raw=True)
+    finally:
+        spark.conf.set(conf, old)
+    assert len(done.parts) > 2
+    # No part has all rows, and their bytes in order are the document.
+    sizes = [(tmp_path / "r.json" / name).stat().st_size for name in done.parts]
+    assert max(sizes) < 0.5 * sum(sizes)
+    got = json.loads(b"".join((tmp_path / "r.json" / name).read_bytes() for name in done.parts))
+    assert sorted(row["n"] for row in got["data"]) == list(range(20_000)) and done.records == 20_000
+    assert got["metadata"]["total_records"] == 20_000 and got["data"][0]["text"] == "a\nb]}"
+    assert json.loads(b"".join((tmp_path / "raw.json" / name).read_bytes() for name in bare.parts)) == got["data"]
 
 
 def test_raw_and_empty_exports(spark, tmp_path):
@@ -201,6 +213,59 @@ def test_saved_models_are_described(spark, tmp_path):
     assert spark.table("three").columns == ["id", LOAD_STAMP]
 
 
+def test_landed_files_are_read_from_the_mark_on(raw, spark, tmp_path):
+    landed = Landed(spark, str(tmp_path))
+    assert landed.deliveries().count() == 0 and landed.since(datetime(2024, 1, 1)).count() == 0
+    for day in (9, 10, 11):
+        landed.land(raw(*[(movement(id=f"{day}-{hour}"), hour, day) for hour in range(5)]))
+    # A file that comes late, and deliveries that have no stamp.
+    landed.land(raw((movement(id="late"), 7, 9), (movement(id="none"), None, 9)))
+    version = landed.log.read()
+    mark = datetime(2024, 1, 11, 3)
+    files = landed.files_since(mark)
+    assert files and len(files) < len(landed.table.paths(version)) and all("extracted_on=2024-01-11" in f for f in files)
+    assert landed.since(mark).count() == 2
+    assert landed.since(datetime(2024, 1, 9, 7)).count() == 11
+    assert landed.deliveries().count() == 17
+
+    class Beaten(Log):
+        """Another writer is faster, once."""
+
+        def commit(self, coming):
+            if not hasattr(self, "lost"):
+                self.lost = True
+                Landed(spark, str(tmp_path)).land(raw((movement(id="other"), 1, 12)))
+            super().commit(coming)
+
+    landed.log = Beaten(spark, landed.log.path)
+    landed.land(raw((movement(id="mine"), 2, 12)))
+    assert landed.deliveries().count() == 19
+
+
+def test_metrics_of_two_models(spark):
+    flights = spark.createDataFrame(
+        [("AR", date(2024, 1, 1), True), (None, date(2024, 1, 3), False), ("FO", date(2024, 1, 3), False)],
+        "airline_code string, flight_date date, is_cancelled boolean",
+    )
+    routes = spark.createDataFrame(
+        [("AR", date(2024, 1, 1), 5), (None, date(2024, 1, 3), 7), ("G3", date(2024, 1, 5), 9)],
+        "airline_code string, flight_date date, total_flights long",
+    )
+    tables = {"flights_performance": flights, "routes_metrics_daily": routes}
+    names = ["total_flights", "route_total_flights"]
+    got = metrics.metrics_of(tables, names, ["airline_code"])
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(
+        [("AR", 1, 5), (None, 1, 7), ("FO", 1, None), ("G3", None, 9)], key=repr
+    )
+    filled = metrics.metrics_of(tables, names, ["flight_date"], fill=True).orderBy("flight_date").collect()
+    assert [tuple(r)[1:] for r in filled] == [(1, 5), (None, None), (2, 7), (None, None), (None, 9)]
+    assert tuple(metrics.metrics_of(tables, names).first()) == (3, 21)
+    with pytest.raises(ValueError, match="missing"):
+        metrics.metrics_of({"flights_performance": flights}, names)
+    with pytest.raises(ValueError, match="single time"):
+        metrics.metrics_of(tables, names, ["airline_code"], fill=True)
+
+
 def test_spine(spark):
     days = spine.time_spine(spark)
     assert days.count() == 4018
