@@ -31,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 ROOT = str(Path(__file__).resolve().parents[2])
 # Texts are long: a batch that goes to Python ends after so many rows or bytes.
 ROWS_PER_BATCH = "1000"
-BYTES_PER_BATCH = str(16 << 20)
+BYTES_PER_BATCH = str(4 << 20)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
