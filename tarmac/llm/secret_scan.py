@@ -56,7 +56,8 @@ MORE = [
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", r"[rs]k_live_[A-Za-z0-9]{16,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
-    Rule("url", r"[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/@]+@"),
+    # A scheme is short and begins where no other one goes on, so no run of letters is read twice.
+    Rule("url", r"(?<![a-z0-9+.-])[a-z][a-z0-9+.-]{0,30}://[^\s/:@]+:[^\s/@]+@"),
 ]
 RULES = BASE + MORE
 
