@@ -60,13 +60,15 @@ def keyless_deliveries(raw: DataFrame) -> DataFrame:
     return _parsed(raw, "data").filter(F.col("flight_sk").isNull()).select("data", *EXTRACT_STAMPS)
 
 
-def _parsed(raw: DataFrame, *carried: str) -> DataFrame:
-    """The documents' fields, still as text where a clock is involved."""
-    parsed = raw.select(
-        "data",
-        *EXTRACT_STAMPS,
-        F.from_json(text.scalars_only(F.col("data")), PAYLOAD_SCHEMA).alias("document"),
-    )
+def _parsed(raw: DataFrame, *carried: str, filtered: bool = False) -> DataFrame:
+    """The documents' fields, still as text where a clock is involved.
+
+    ``filtered`` tells that a filter on fields follows. It would be moved below the parse and parse
+    once more per field it reads; it cannot pass a generator.
+    """
+    document = F.from_json(text.scalars_only(F.col("data")), PAYLOAD_SCHEMA)
+    document = F.explode(F.array(document)) if filtered else document
+    parsed = raw.select("data", *EXTRACT_STAMPS, document.alias("document"))
 
     def field(key: str):
         return F.col("document")[key]
@@ -97,7 +99,7 @@ def latest_movements(raw: DataFrame, settings: Settings = Settings(), since: Col
     movement's key contains its day, so all its versions go or stay together. Deliveries without a
     key are one movement whatever their days; they are compared first and judged by the newest's day.
     """
-    deliveries, day = _parsed(raw), F.col("flight_date")
+    deliveries, day = _parsed(raw, filtered=since is not None), F.col("flight_date")
     if since is not None:
         deliveries = deliveries.filter(F.col("flight_sk").isNull() | (day >= since))
     newest = keep_latest(deliveries, ["flight_sk"], newest_delivery_first())

@@ -142,3 +142,26 @@ def test_time_of_day(raw):
 def test_fact_drops_rows_without_extraction_stamp(raw):
     flights = stg_flights(raw((movement(), None, 11), movement(id="F2")))
     assert [row.flight_id for row in marts.flights_performance(flights).collect()] == ["F2"]
+
+
+def test_days_left_out_are_left_out_before_versions_meet(raw):
+    deliveries = raw(
+        (movement(id="1", x_date="2024-01-05"), 1, 11),
+        (movement(id="1", x_date="2024-01-10", gate="old"), 1, 11),
+        (movement(id="1", x_date="2024-01-10", gate="new"), 2, 11),
+        (movement(id="2", x_date=None), 1, 11),
+        (movement(id=None, x_date="2024-01-10", gate="older keyless"), 1, 11),
+        (movement(id=None, x_date="2024-01-05", gate="newest keyless"), 4, 11),
+        ('{"x_date": "2024-01-10"', 3, 11),
+    )
+    since = F.lit("2024-01-08").cast("date")
+    some = staging.stg_flights(deliveries, since=since)
+    want = staging.stg_flights(deliveries).filter(F.col("flight_date") >= since)
+    assert sorted(map(repr, some.collect())) == sorted(map(repr, want.collect()))
+    # The newest delivery without a key is of an earlier day, so none of them is left.
+    assert [(r.flight_id, r.gate) for r in some.collect()] == [("1", "new")]
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    window = next(i for i, line in enumerate(lines) if " Window " in line or "+- Window" in line)
+    below = next(i for i, line in enumerate(lines) if i > window and "Filter" in line)
+    assert "flight_date" in lines[below] and plan.count("from_json(") + plan.count("jsontostructs(") <= 2
