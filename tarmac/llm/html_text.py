@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -69,7 +70,9 @@ MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story|content|main|b
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|(?P<text>[^<]+|<)",
+    # Quotes count behind "=" only, as in browsers; one that is never closed is a sign like any other,
+    # and nothing is tried twice.
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^>])*+)(?:>|\Z)|(?P<text>[^<]+|<)",
     re.S,
 )
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -162,6 +165,11 @@ def blocks(page: str) -> list[Block]:
     """The flat text blocks of a page, in order; blocks without text are left out."""
     out: list[Block] = []
     stack: list[Place] = [Place()]
+    # How many elements of a tag are open, and where in the stack those are that are not inline.
+    opened: Counter[str] = Counter()
+    solid: list[int] = [0]
+    # Tags whose text runs to an end tag that the rest of the page does not have.
+    endless: set[str] = set()
     pieces: list[str] = []
     linked: list[str] = []
     at = 0
@@ -176,10 +184,25 @@ def blocks(page: str) -> list[Block]:
         pieces.clear()
         linked.clear()
 
+    def enter(place: Place) -> None:
+        if place.tag not in INLINE:
+            solid.append(len(stack))
+        opened[place.tag] += 1
+        stack.append(place)
+
+    def cut(depth: int) -> None:
+        """Close all elements from a place in the stack on."""
+        while len(stack) > depth:
+            opened[stack.pop().tag] -= 1
+        while solid[-1] >= depth:
+            solid.pop()
+
     def leave(tag: str) -> None:
-        if any(place.tag == tag for place in stack):
-            while stack.pop().tag != tag:
-                pass
+        if opened[tag] > 0:
+            depth = len(stack) - 1
+            while stack[depth].tag != tag:
+                depth -= 1
+            cut(depth)
 
     while at < len(page):
         m = TOKEN.match(page, at)
@@ -203,20 +226,19 @@ def blocks(page: str) -> list[Block]:
             leave(tag)
         elif tag in RAW:
             if tag != "head":
-                close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+                close = None if tag in endless else re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+                if not close:
+                    endless.add(tag)
                 at = close.end() if close else (at if tag in ("svg", "math", "object") else len(page))
         else:
             if tag in CLOSES_P:
                 # A new block ends an open paragraph, unless an element between them holds it.
-                depth = len(stack) - 1
-                while stack[depth].tag in INLINE:
-                    depth -= 1
-                if stack[depth].tag == "p":
-                    del stack[depth:]
+                if stack[solid[-1]].tag == "p":
+                    cut(solid[-1])
             elif tag in ITEMS and stack[-1].tag == tag:
-                stack.pop()
+                cut(len(stack) - 1)
             if tag not in VOID and not attrs.endswith("/"):
-                stack.append(stack[-1].inside(tag, attrs))
+                enter(stack[-1].inside(tag, attrs))
     flush()
     return out
 

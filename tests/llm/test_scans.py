@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -316,3 +317,40 @@ def test_giants_equal_rows(spark, odd, library):
         assert back.where("decoded <> coalesce(text, '')").isEmpty()
     assert sentence_pieces.round_trip(odd, model).where("NOT restored").isEmpty()
     assert sentence_pieces.round_trip(odd.limit(0), model).count() == 0
+
+
+def seconds(call):
+    begin = time.perf_counter()
+    call()
+    return time.perf_counter() - begin
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 50_000 + "</span>" * 50_000 + "x",
+        "<a " * 300_000 + '"',
+        "<a b='" + '<a b="x>' * 120_000,
+        "<svg>" * 200_000 + "x",
+        "<i>" * 100_000 + "<div></div>" * 60_000,
+        "<" * 1_000_000,
+    ],
+)
+def test_broken_pages_of_a_megabyte(page):
+    # Work that grew with the square of the page would take hours.
+    assert seconds(lambda: html_text.blocks(page)) < 20
+
+
+def test_stray_and_unclosed_markup():
+    def texts(page):
+        return [b.text for b in html_text.blocks(page)]
+
+    assert texts("<p>a</span></div><p>b<div>c</p>d") == ["a", "b", "c", "d"]
+    assert texts('<p>a<a title="x>y">b</a> <a title"q>c</a> d') == ["ab c d"]
+    assert texts("<p>a<svg>b<svg>c<p>d") == ["a", "b", "c", "d"]
+    assert texts("<p>a <b>b<p>c</b> d") == ["a b", "c d"]
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000 + "://", "aB3/" * 250_000 + " x://", "-----BEGIN " + "A " * 300_000, "eyJaaaaaaaa." * 80_000])
+def test_secrets_in_a_megabyte(text):
+    assert seconds(lambda: secret_scan.Scanner().spans(pa.array([text]))) < 20
