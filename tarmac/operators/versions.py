@@ -163,18 +163,20 @@ class FileTable:
 
     # --- rows
 
-    def read(self, version: Version, parts: Sequence | None = None) -> DataFrame:
-        return self.rows(self.paths(version, parts))
+    def read(self, version: Version, parts: Sequence | None = None, stamp: str | None = None) -> DataFrame:
+        return self.rows(self.paths(version, parts), stamp=stamp)
 
-    def rows(self, paths: Sequence[str], file: str | None = None) -> DataFrame:
-        """The rows of some files, with the file's path as a column ``file`` if asked."""
+    def rows(self, paths: Sequence[str], file: str | None = None, stamp: str | None = None) -> DataFrame:
+        """The rows of some files; if asked with the file's path as a column ``file`` and the time it was written as ``stamp``."""
         if not paths:
             empty = self.spark.createDataFrame([], self.schema)
-            return empty.withColumn(file, F.lit("")) if file else empty
+            empty = empty.withColumn(file, F.lit("")) if file else empty
+            return empty.withColumn(stamp, F.lit(None).cast("timestamp")) if stamp else empty
         # Partitions read so much smaller than whole that footers are not worth a look at the schema.
         reader = self.spark.read.schema(self.schema).option("basePath", self.path)
         rows = reader.parquet(*[f"{self.path}/{path}" for path in paths])
         own = [F.regexp_extract("_metadata.file_path", "(load=.*)$", 1).alias(file)] if file else []
+        own += [F.col("_metadata.file_modification_time").alias(stamp)] if stamp else []
         return rows.select(*self.schema.names, *own)
 
     def write(self, df: DataFrame, load: str) -> str:

@@ -20,6 +20,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,8 @@ from tarmac.config import Settings
 from tarmac.functions import rules
 from tarmac.operators.versions import FileTable, Log, Version, discard
 from tarmac.plans import marts, public, staging
-from tarmac.schemas import AIRPORT_SCHEMA, EXTRACT_STAMPS, RAW_SCHEMA
+from tarmac.schemas import AIRPORT_SCHEMA, LOAD_STAMP, RAW_SCHEMA
+from tarmac.sinks.models import described, with_load_stamp
 from tarmac.sources.landed import Landed
 from tarmac.sources.spine import time_spine
 
@@ -201,6 +203,23 @@ class Pipeline:
             raise KeyError(f"no model {name}; there are {', '.join(models)}")
         return models[name]()
 
+    def stamped_model(self, name: str, version: Version | None = None) -> DataFrame:
+        """A model with the load stamp and the descriptions of its columns.
+
+        Rows of models that are stored as they are carry the time their file was written; a model
+        that is computed when it is read carries the time it is read.
+        """
+        version = version or self.version()
+        if name == "routes_metrics_daily":
+            df = self.parts[name].read(version, stamp=LOAD_STAMP)
+        elif name == "stg_flights":
+            tables = (self.flights, self.keyless)
+            df = reduce(DataFrame.unionByName, [t.read(version, stamp=LOAD_STAMP) for t in tables])
+            df = df.drop(staging.DELIVERY_HASH)
+        else:
+            df = with_load_stamp(self.model(name, version))
+        return described(df)
+
     def high_water(self, version: Version | None = None) -> datetime | None:
         """The newest extraction stamp of any batch so far."""
         text = (version or self.version()).facts.get("high_water")

@@ -2,7 +2,7 @@
 
 import json
 from dataclasses import replace
-from datetime import date
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tarmac.config import Settings
 from tarmac.operators.versions import Conflict, FileTable
 from tarmac.plans import marts, public, staging
+from tarmac.schemas import LOAD_STAMP
+from tarmac.sinks.models import DESCRIPTIONS, TABLES
 from tarmac.sources.airports import feed_airports
 from tarmac.sources.feed import movement_feed
 from tarmac.sources.spine import time_spine
@@ -215,6 +217,14 @@ def test_every_model_by_its_name(raw, tmp_path, spark):
     }
     assert_same(pipeline, want)
     assert all(pipeline.model(name).count() for name in want)
+    assert set(TABLES) == {*want, "stg_flights", "stg_airlines", "stg_aircraft", "flights_performance", "airline_metrics",
+                           "airport_operations", "delay_analysis", "routes_metrics_daily"}
+    begun = datetime.now() - timedelta(hours=1)
+    for name in ("stg_flights", "routes_metrics_daily", "airline_metrics"):
+        stamped = pipeline.stamped_model(name)
+        assert stamped.columns == [*pipeline.model(name).columns, LOAD_STAMP]
+        assert stamped.filter(F.col(LOAD_STAMP) < F.lit(begun)).isEmpty()
+        assert stamped.schema["airline_code"].metadata["comment"] == DESCRIPTIONS["airline_code"]
     with pytest.raises(KeyError, match="no model elsewhere; there are stg_flights"):
         pipeline.model("elsewhere")
 
