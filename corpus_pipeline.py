@@ -2,6 +2,10 @@
 
 Each stage works on all that the one before kept. Between stages the documents are written
 as Parquet to the shared folder and read again, so a lost executor costs a stage's work at most.
+
+Results in odd cases: NULL and empty texts have no words and go in the first stage, and so do short ones;
+rows without a doc_id are duplicates of nothing and stay; of repeated rows with one, one stays; very long texts pass whole; an empty table stays empty. Columns that
+documents have beyond the usual ones pass through, unless the last stage has one of the same name.
 """
 
 from __future__ import annotations
