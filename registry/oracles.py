@@ -608,6 +608,7 @@ ORACLES["incr_routes_daily"] = ORACLES["routes_metrics_daily"]
 ORACLES["incr_airline_metrics"] = ORACLES["airline_metrics"]
 ORACLES["incr_delay_analysis"] = ORACLES["delay_analysis"]
 ORACLES["incr_airport_operations"] = ORACLES["airport_operations"]
+ORACLES["incr_gates_analysis"] = ORACLES["public_gates_analysis"]
 ORACLES["incr_stg_airlines"] = ORACLES["stg_airlines"]
 ORACLES["incr_stg_aircraft"] = ORACLES["stg_aircraft"]
 # Movements without an id have no key; the newest of them stands for all.

@@ -99,7 +99,10 @@ def over_feed(build: Callable[[Feed], DataFrame]) -> Query:
 
 
 def gates_as_text(feed: Feed) -> DataFrame:
-    gates = public.public_gates_analysis(feed.fact())
+    return with_hours_as_text(public.public_gates_analysis(feed.fact()))
+
+
+def with_hours_as_text(gates: DataFrame) -> DataFrame:
     listed = F.array_join(F.col("time_distribution").cast("array<string>"), ",")
     return gates.withColumn("time_distribution", listed)
 
@@ -364,6 +367,9 @@ QUERIES: dict[str, Query] = {
     "incr_airline_metrics": incremental("airline_metrics", "airline_totals"),
     "incr_delay_analysis": incremental("delay_analysis", "delay_parts"),
     "incr_airport_operations": incremental("airport_operations", "airport_totals"),
+    "incr_gates_analysis": over_feed(
+        lambda feed: with_hours_as_text(_maintained(feed, ["public_gates_analysis"]).model("public_gates_analysis"))
+    ),
     "incr_stg_airlines": incremental("stg_airlines", "stg_airlines"),
     "incr_stg_aircraft": incremental("stg_aircraft", "stg_aircraft"),
     "incr_stg_flights": incremental("stg_flights", keyless_every=KEYLESS_EVERY),

@@ -224,18 +224,14 @@ def public_tops(
     )
 
 
-def public_gates_analysis(fact: DataFrame, gates: int = 20) -> DataFrame:
-    """Busiest gates over all movements, with a histogram of 24 UTC hours.
-
-    The fact is reduced to gate and hour first; the histogram is laid out from
-    at most 25 rows per gate.
-    """
+def gate_parts(fact: DataFrame, *more: str) -> DataFrame:
+    """What gates add up from, per gate and UTC hour (NULL if no instant is known), and per ``more``."""
     moment = F.coalesce("movement_actual_timestamp", "estimated_timestamp", "scheduled_timestamp")
     measured = rules.measured(rules.delay())
-    per_hour = (
-        fact.select(text.filled(F.col("gate")).alias("gate"), "delay_minutes", F.hour(moment).alias("hour"))
+    return (
+        fact.select(*more, text.filled(F.col("gate")).alias("gate"), "delay_minutes", F.hour(moment).alias("hour"))
         .filter(F.col("gate").isNotNull())
-        .groupBy("gate", "hour")
+        .groupBy(*more, "gate", "hour")
         .agg(
             F.count("*").alias("flights"),
             F.sum(measured).alias("delay_sum"),
@@ -245,6 +241,19 @@ def public_gates_analysis(fact: DataFrame, gates: int = 20) -> DataFrame:
             F.max(rules.delay()).alias("longest"),
         )
     )
+
+
+def public_gates_analysis(fact: DataFrame, gates: int = 20) -> DataFrame:
+    """Busiest gates over all movements, with a histogram of 24 UTC hours.
+
+    The fact is reduced to gate and hour first; the histogram is laid out from
+    at most 25 rows per gate.
+    """
+    return gates_of(gate_parts(fact), gates)
+
+
+def gates_of(per_hour: DataFrame, gates: int = 20) -> DataFrame:
+    """The same from parts, of all days together or day by day: histograms add up hour by hour."""
     at_hour = [F.sum(F.when(F.col("hour") == h, F.col("flights")).otherwise(0)) for h in range(24)]
     return (
         per_hour.groupBy("gate")

@@ -56,6 +56,7 @@ PARTS = {
     "delay_parts": Parts(marts.delay_parts, True, "delay_parts"),
     "airline_parts": Parts(lambda fact: marts.airline_parts(fact, DAY), True, "airline_totals"),
     "airport_parts": Parts(lambda fact: marts.airport_parts(fact, DAY), True, "airport_totals"),
+    "gate_parts": Parts(lambda fact: public.gate_parts(fact, DAY), True, "public_gates_analysis"),
     "stg_airline_parts": Parts(lambda flights: staging.airline_parts(flights, DAY), False, "stg_airlines"),
     "stg_aircraft_parts": Parts(lambda flights: staging.aircraft_parts(flights, DAY), False, "stg_aircraft"),
 }
@@ -197,7 +198,7 @@ class Pipeline:
             "public_bucket_distribution": lambda: public.public_bucket_distribution(fact(), settings),
             "public_daily_status": lambda: public.public_daily_status(fact(), airports(), settings),
             "public_tops": lambda: public.public_tops(fact(), airports(), settings),
-            "public_gates_analysis": lambda: public.public_gates_analysis(fact()),
+            "public_gates_analysis": lambda: public.gates_of(parts("gate_parts")),
         }
         if name not in models:
             raise KeyError(f"no model {name}; there are {', '.join(models)}")

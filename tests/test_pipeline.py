@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tarmac.config import Settings
+from tarmac.config import Settings, durable
 from tarmac.operators.versions import Conflict, FileTable
 from tarmac.plans import marts, public, staging
 from tarmac.schemas import LOAD_STAMP
@@ -21,7 +21,7 @@ from tests.conftest import SF, movement
 
 
 def full_build(raw):
-    flights = staging.stg_flights(raw)
+    flights = durable(staging.stg_flights(raw), "full-build")
     fact = marts.flights_performance(flights)
     return {
         "stg_flights": flights,
@@ -32,6 +32,7 @@ def full_build(raw):
         "airline_metrics": marts.airline_metrics(fact),
         "airport_operations": marts.airport_operations(fact),
         "delay_analysis": marts.delay_analysis(fact),
+        "public_gates_analysis": public.public_gates_analysis(fact),
     }
 
 
