@@ -164,20 +164,22 @@ class FileTable:
     # --- rows
 
     def read(self, version: Version, parts: Sequence | None = None, stamp: str | None = None) -> DataFrame:
-        return self.rows(self.paths(version, parts), stamp=stamp)
+        """The rows of a version, if asked with the time their file was written as a column ``stamp``."""
+        paths = self.paths(version, parts)
+        return self._with(paths, stamp, "timestamp", F.col("_metadata.file_modification_time")) if stamp else self.rows(paths)
 
-    def rows(self, paths: Sequence[str], file: str | None = None, stamp: str | None = None) -> DataFrame:
-        """The rows of some files; if asked with the file's path as a column ``file`` and the time it was written as ``stamp``."""
+    def rows(self, paths: Sequence[str], file: str | None = None) -> DataFrame:
+        """The rows of some files, if asked with the file's path as a column ``file``."""
+        return self._with(paths, file, "string", F.regexp_extract("_metadata.file_path", "(load=.*)$", 1))
+
+    def _with(self, paths: Sequence[str], name: str | None, kind: str, value: Column) -> DataFrame:
         if not paths:
             empty = self.spark.createDataFrame([], self.schema)
-            empty = empty.withColumn(file, F.lit("")) if file else empty
-            return empty.withColumn(stamp, F.lit(None).cast("timestamp")) if stamp else empty
+            return empty.withColumn(name, F.lit(None).cast(kind)) if name else empty
         # Partitions read so much smaller than whole that footers are not worth a look at the schema.
         reader = self.spark.read.schema(self.schema).option("basePath", self.path)
         rows = reader.parquet(*[f"{self.path}/{path}" for path in paths])
-        own = [F.regexp_extract("_metadata.file_path", "(load=.*)$", 1).alias(file)] if file else []
-        own += [F.col("_metadata.file_modification_time").alias(stamp)] if stamp else []
-        return rows.select(*self.schema.names, *own)
+        return rows.select(*self.schema.names, *([value.alias(name)] if name else []))
 
     def write(self, df: DataFrame, load: str) -> str:
         """Write rows as new files; they belong to no version yet. Returns the folder."""
