@@ -57,7 +57,7 @@ def newest_delivery_first() -> list:
 
 def keyless_deliveries(raw: DataFrame) -> DataFrame:
     """Every delivery that lacks a part of its movement's key, as it came."""
-    return _parsed(raw, "data").filter(F.col("flight_sk").isNull()).select("data", *EXTRACT_STAMPS)
+    return _parsed(raw, "data", filtered=True).filter(F.col("flight_sk").isNull()).select("data", *EXTRACT_STAMPS)
 
 
 def _parsed(raw: DataFrame, *carried: str, filtered: bool = False) -> DataFrame:

@@ -1,5 +1,6 @@
 """Parsing, time reconstruction, flags and deduplication of raw deliveries."""
 
+import json
 from datetime import datetime
 
 import pytest
@@ -119,6 +120,26 @@ def test_broken_documents_yield_no_key(raw):
     assert [row.flight_sk for row in stg_flights(raw("no json", '{"id": ')).collect()] == [None]
 
 
+def test_keyless_deliveries_are_parsed_once_and_above_the_feed(raw):
+    deliveries = raw(
+        (movement(), 1, 11),
+        (movement(id=None, gate="K1"), 2, 11),
+        (movement(id=None, gate="K1"), 2, 11),
+        (movement(x_date="no day", gate="K2"), None, 11),
+        ("no json", 3, 11),
+    )
+    got = [row["data"] for row in staging.keyless_deliveries(deliveries).collect()]
+    assert sorted(json.loads(text)["gate"] for text in got if text != "no json") == ["K1", "K1", "K2"]
+    assert got.count("no json") == 1
+    # Below a shuffle the documents are made anew for each field that the filter reads.
+    made = deliveries.repartition(2).withColumn("data", F.concat("data", F.lit(" ")))
+    plan = staging.keyless_deliveries(made)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+    lines = plan.splitlines()
+    shuffle = next(i for i, line in enumerate(lines) if "Repartition" in line)
+    assert not [line for line in lines[shuffle:] if "Filter" in line or "from_json(" in line]
+
+
 def test_columns(raw):
     assert stg_flights(raw(movement())).columns == FLIGHT_COLUMNS
     assert marts.flights_performance(stg_flights(raw(movement()))).columns == marts.FACT_COLUMNS
