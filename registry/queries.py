@@ -266,9 +266,13 @@ def incremental(model: str, *maintained: str, keyless_every: int | None = None)
 def unkeyed(feed: Feed) -> DataFrame:
     """Deliveries set aside for lack of a key, per day; a delivery that two runs saw counts once."""
     pipeline = _maintained(feed, [], KEYLESS_EVERY)
-    aside = reduce(DataFrame.unionByName, [pipeline.unkeyed(batch) for batch in range(len(RUNS))])
+    runs = [pipeline.unkeyed(batch).withColumn("run", F.lit(batch)) for batch in range(len(RUNS))]
+    aside = reduce(DataFrame.unionByName, runs)
+    # Without a key, deliveries may be equal and each counts; a run that sees one again sees all its equals again.
+    seen = aside.groupBy("run", "data", *EXTRACT_STAMPS).agg(F.count("*").alias("equal"))
+    once = seen.groupBy("data", *EXTRACT_STAMPS).agg(F.max("equal").alias("equal"))
     day = F.to_date("_sdc_extracted_at").alias("day")
-    return aside.distinct().groupBy(day).agg(F.count("*").alias("deliveries"))
+    return once.groupBy(day).agg(F.sum("equal").alias("deliveries"))
 
 
 def export_documents(feed: Feed) -> DataFrame:

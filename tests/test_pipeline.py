@@ -7,6 +7,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from registry.queries import QUERIES
 from tarmac.config import Settings, durable
 from tarmac.operators.versions import Conflict, FileTable
 from tarmac.plans import marts, public, staging
@@ -142,6 +143,29 @@ def test_batches_break_off_and_readers_see_whole_batches(raw, tmp_path, spark, m
     assert pipeline.movements(version=held).count() == 2
 
 
+def test_equal_deliveries_without_a_key_count_each(spark, tmp_path):
+    # Movements 7 and 48007 lack their id, so these events make equal deliveries; movement 8 has its id.
+    seen = [
+        (14, datetime(2024, 1, 5, 10), "view"),
+        (96014, datetime(2024, 1, 5, 10), "view"),
+        (15, datetime(2024, 1, 5, 10), "click"),
+        # With the last stamp of the first run, so the second run sees them again.
+        (96015, datetime(2024, 1, 10, 12), "view"),
+        (15, datetime(2024, 1, 10, 12), "view"),
+        (16, datetime(2024, 1, 10, 12), "view"),
+        (14, datetime(2024, 1, 25, 9), "view"),
+    ]
+    rows = [(event, at, 1, kind, 1.0, '{"k": 3}') for event, at, kind in seen]
+    columns = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/events.parquet")
+    got = QUERIES["incr_unkeyed"](spark, str(tmp_path)).collect()
+    assert sorted((row.day, row.deliveries) for row in got) == [
+        (date(2024, 1, 5), 3),
+        (date(2024, 1, 10), 2),
+        (date(2024, 1, 25), 1),
+    ]
+
+
 def test_two_writers_from_one_version(raw, tmp_path, spark):
     pipeline = Pipeline(spark, str(tmp_path), maintained=[])
     other = Pipeline(spark, str(tmp_path), maintained=[])
